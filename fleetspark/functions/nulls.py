@@ -51,13 +51,20 @@ def div_or_null(a, b) -> Column:
     return F.try_divide(a, F.nullif(b, F.lit(0)))
 
 
+def round_np(c, digits: int) -> Column:
+    """numpy/pandas ``round``: ``rint(x * 10**d) / 10**d`` on the binary value
+    (half to even after the multiplication).  ``bround`` rounds the decimal
+    text instead and differs on values like 5.379 / 4."""
+    s = float(10 ** digits)
+    return F.rint(col_(c) * F.lit(s)) / F.lit(s)
+
+
 def r4(c) -> Column:
-    """numpy ``round(4)`` (half to even)."""
-    return F.bround(col_(c), 4)
+    return round_np(c, 4)
 
 
 def r2(c) -> Column:
-    return F.bround(col_(c), 2)
+    return round_np(c, 2)
 
 
 def fill0(c) -> Column:

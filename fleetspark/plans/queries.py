@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import utm_expr
-from ..functions.nulls import r4
+from ..functions.nulls import r4, round_np
 from ..operators.clean import clean_haulers, vehicle_class
 from ..operators.pings import ping_pass
 from ..operators.shift import shift_features
@@ -71,13 +71,13 @@ def q_gps_quality(spark, sf_dir):
 def q_utm_projection(spark, sf_dir):
     t = _ctx(spark, sf_dir).inp.telemetry
     x, y = utm_expr(F.col("longitude"), F.col("latitude"))
-    return t.select("vehicle", "ping_id", F.bround(x, 2).alias("utm_e"), F.bround(y, 2).alias("utm_n"))
+    return t.select("vehicle", "ping_id", round_np(x, 2).alias("utm_e"), round_np(y, 2).alias("utm_n"))
 
 
 def q_time_deltas(spark, sf_dir):
     p = _ctx(spark, sf_dir).pings
-    return p.select("vehicle", "ping_id", "ts_us", F.bround("actual_dt_sec", 6).alias("actual_dt_sec"),
-                    "is_gap_300s", F.bround("dt_sec", 6).alias("dt_sec"))
+    return p.select("vehicle", "ping_id", "ts_us", round_np("actual_dt_sec", 6).alias("actual_dt_sec"),
+                    "is_gap_300s", round_np("dt_sec", 6).alias("dt_sec"))
 
 
 def q_gap_status(spark, sf_dir):
