@@ -258,7 +258,123 @@ def ctes(cut: int = FIXTURE_ANALOG_CUT_US) -> str:
     return "WITH " + ",".join(b.strip() for b in blocks)
 
 
-EXTRA: list[str] = []
+TRIPS = """
+stops AS (
+  SELECT vehicle, date_dpr, shift_dpr, stop_blk, min(ts_us) AS start_us, max(ts_us) AS end_us,
+    median(utm_x) AS d_utm_x, median(utm_y) AS d_utm_y, median(altitude) AS d_alt,
+    first(mine_anon ORDER BY ts_us, ping_id) FILTER (WHERE mine_anon IS NOT NULL) AS mine_anon
+  FROM p1 WHERE is_stp GROUP BY vehicle, date_dpr, shift_dpr, stop_blk),
+stops2 AS (SELECT *, cast(end_us - start_us AS double) / 1000000.0 AS dur_sec, start_us + end_us AS mid2 FROM stops),
+lcand AS (SELECT * FROM stops2 WHERE dur_sec BETWEEN 45 AND 1200),
+lpair AS (
+  SELECT c.*, l.l_id, l.ts_us AS l_ts_us, l.l_x, l.l_y, l.l_alt,
+    row_number() OVER (PARTITION BY c.vehicle, c.stop_blk, c.date_dpr, c.shift_dpr, l.l_id
+                       ORDER BY abs(2 * l.ts_us - c.mid2), l.ts_us,
+                                CASE WHEN 2 * l.ts_us <= c.mid2 THEN -l.ping_id ELSE l.ping_id END) AS rn
+  FROM lcand c JOIN loader l ON 2 * l.ts_us >= c.mid2 - 240000000 AND 2 * l.ts_us <= c.mid2 + 240000000),
+lnear AS (
+  SELECT * EXCLUDE (rn), sqrt((d_utm_x - l_x) * (d_utm_x - l_x) + (d_utm_y - l_y) * (d_utm_y - l_y)) AS d2d,
+    abs(d_alt - l_alt) AS dz
+  FROM lpair WHERE rn = 1),
+ltop AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vehicle, stop_blk ORDER BY d2d NULLS LAST, l_id, start_us) AS rk
+                 FROM lnear) t WHERE rk = 1),
+conf AS (SELECT * FROM ltop WHERE d2d <= 50 AND dz <= 15),
+edges AS (
+  SELECT vehicle, ts_us, bu_rise, lead(ts_us) OVER (PARTITION BY vehicle ORDER BY ts_us, ping_id) AS next_ts
+  FROM p1 WHERE bu_rise OR bu_fall),
+analog_ev AS (
+  SELECT e.vehicle, e.ts_us AS rise_us, e.next_ts AS fall_us, cast(e.next_ts - e.ts_us AS double) / 1000000.0 AS dur_sec
+  FROM edges e JOIN fleet_cls f ON f.vehicle = e.vehicle AND f.is_analog
+  WHERE e.bu_rise AND e.next_ts IS NOT NULL
+    AND cast(e.next_ts - e.ts_us AS double) / 1000000.0 BETWEEN 10 AND 600),
+dcand AS (SELECT * FROM stops2 WHERE dur_sec BETWEEN 15 AND 600),
+gcand AS (
+  SELECT d.* FROM dcand d LEFT JOIN fleet_cls f ON f.vehicle = d.vehicle
+  WHERE coalesce(f.is_geo, false) OR (d.mine_anon = 'mine001' AND NOT coalesce(f.is_analog, false))),
+zhits AS (
+  SELECT g.*, 0 AS zone_id, 650.0 AS median_altitude FROM gcand g
+  WHERE d_utm_x BETWEEN 500050 AND 500150 AND d_utm_y BETWEEN 2600040 AND 2600120
+  UNION ALL
+  SELECT g.*, 1 AS zone_id, 640.0 AS median_altitude FROM gcand g
+  WHERE d_utm_x >= 500000 AND d_utm_y >= 2600000 AND 170 * (d_utm_x - 500000) + 200 * (d_utm_y - 2600000) <= 34000),
+geo_ev AS (SELECT * FROM zhits WHERE abs(d_alt - median_altitude) <= 20),
+load_ev AS (SELECT DISTINCT end_us AS ev_us FROM conf),
+dump_ev AS (SELECT fall_us AS ev_us FROM analog_ev UNION SELECT end_us FROM geo_ev),
+marked AS (
+  SELECT p.*,
+    EXISTS (SELECT 1 FROM load_ev e WHERE e.ev_us BETWEEN p.ts_us - 5000000 AND p.ts_us + 5000000) AS load_mark,
+    EXISTS (SELECT 1 FROM dump_ev e WHERE e.ev_us BETWEEN p.ts_us - 5000000 AND p.ts_us + 5000000) AS dump_mark
+  FROM pm4 p),
+st0 AS (SELECT *, CASE WHEN load_mark THEN cast(1 AS double) WHEN dump_mark THEN cast(0 AS double) END AS ev_flag FROM marked),
+st1 AS (
+  SELECT *, coalesce(last_value(ev_flag IGNORE NULLS) OVER (PARTITION BY vehicle, date_dpr, shift_dpr ORDER BY ts_us, ping_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), cast(0 AS double)) AS state
+  FROM st0),
+st2 AS (
+  SELECT *, CASE WHEN state = 1 AND coalesce(lag(state) OVER (PARTITION BY vehicle, date_dpr, shift_dpr
+                                                              ORDER BY ts_us, ping_id), 0) = 0 THEN 1 ELSE 0 END AS new_trip,
+    state = 1 AS is_load, coalesce(ignition = 1 AND speed >= 2, false) AS mv2
+  FROM st1),
+tagg AS (
+  SELECT vehicle, date_dpr, shift_dpr,
+    cast(sum(new_trip) AS bigint) AS calc_trips,
+    sum(CASE WHEN is_load THEN d_spd ELSE 0 END) AS ld_spd, sum(CASE WHEN NOT is_load THEN d_spd ELSE 0 END) AS em_spd,
+    sum(CASE WHEN is_load THEN d_hav ELSE 0 END) AS ld_hav, sum(CASE WHEN NOT is_load THEN d_hav ELSE 0 END) AS em_hav,
+    sum(CASE WHEN is_load AND adiff > 0 THEN adiff ELSE 0 END) AS loaded_climb_m,
+    sum(CASE WHEN NOT is_load AND adiff > 0 THEN adiff ELSE 0 END) AS empty_climb_m,
+    sum(CASE WHEN is_load AND adiff < 0 THEN -adiff ELSE 0 END) AS loaded_desc_m,
+    coalesce(sum(CASE WHEN is_load AND mv2 THEN speed END), 0) AS ld_sv, count(CASE WHEN is_load AND mv2 THEN speed END) AS ld_sc,
+    coalesce(sum(CASE WHEN NOT is_load AND mv2 THEN speed END), 0) AS em_sv,
+    count(CASE WHEN NOT is_load AND mv2 THEN speed END) AS em_sc,
+    first(mine_anon ORDER BY ts_us, ping_id) FILTER (WHERE mine_anon IS NOT NULL) AS mine_anon
+  FROM st2 GROUP BY vehicle, date_dpr, shift_dpr),
+lmeta AS (
+  SELECT vehicle, date_dpr, shift_dpr, avg(dur_sec) AS avg_loading_time_sec, count(DISTINCT l_id) AS n_unique_loaders
+  FROM conf GROUP BY vehicle, date_dpr, shift_dpr),
+cyc0 AS (
+  SELECT vehicle, date_dpr, shift_dpr,
+    cast(ts_us - lag(ts_us) OVER (PARTITION BY vehicle, date_dpr, shift_dpr ORDER BY ts_us, ping_id) AS double) / 1000000.0 AS ct
+  FROM st2 WHERE new_trip = 1),
+cyc AS (SELECT vehicle, date_dpr, shift_dpr, avg(ct) AS avg_cycle_sec, stddev_samp(ct) AS std_cycle_sec
+        FROM cyc0 GROUP BY vehicle, date_dpr, shift_dpr),
+trip1 AS (
+  SELECT t.*, l.avg_loading_time_sec, l.n_unique_loaders, c.avg_cycle_sec, c.std_cycle_sec,
+    round_even(ld_spd, 4) AS loaded_dist_spd_km0, round_even(em_spd, 4) AS empty_dist_spd_km0,
+    round_even(ld_hav, 4) AS loaded_dist_hav_km0, round_even(em_hav, 4) AS empty_dist_hav_km0,
+    round_even(CASE WHEN ld_hav + em_hav = 0 THEN 0 ELSE ld_hav / (ld_hav + em_hav) END, 4) AS loaded_ratio_hav0,
+    round_even(CASE WHEN ld_spd + em_spd = 0 THEN 0 ELSE ld_spd / (ld_spd + em_spd) END, 4) AS loaded_ratio_spd0,
+    round_even(CASE WHEN ld_sc = 0 THEN 0 ELSE ld_sv / ld_sc END, 4) AS avg_speed_loaded,
+    round_even(CASE WHEN em_sc = 0 THEN 0 ELSE em_sv / em_sc END, 4) AS avg_speed_empty,
+    round_even(CASE WHEN c.avg_cycle_sec * calc_trips / 3600 = 0 THEN 0
+                    ELSE calc_trips / (c.avg_cycle_sec * calc_trips / 3600) END, 4) AS trips_per_hour
+  FROM tagg t LEFT JOIN lmeta l USING (vehicle, date_dpr, shift_dpr) LEFT JOIN cyc c USING (vehicle, date_dpr, shift_dpr)),
+trip2 AS (
+  SELECT t.*, round_even(CASE WHEN avg_speed_empty = 0 THEN 0 ELSE avg_speed_loaded / avg_speed_empty END, 4) AS speed_ratio_l_e,
+    s.total_dist_hav_km, s.total_dist_spd_km,
+    coalesce(m.vehicle IS NOT NULL, false) OR NOT coalesce(f.is_analog OR f.is_geo OR f.is_m2, false) AS fb
+  FROM trip1 t
+  LEFT JOIN shiftf s ON s.dumper_id = t.vehicle AND s.date_dpr = t.date_dpr AND s.shift = t.shift_dpr
+  LEFT JOIN fleet_cls f ON f.vehicle = t.vehicle
+  LEFT JOIN (SELECT vehicle FROM fleet_cls WHERE is_m2) m ON m.vehicle = t.mine_anon),
+tripf AS (
+  SELECT vehicle AS dumper_id, date_dpr, shift_dpr AS shift, calc_trips,
+    CASE WHEN NOT fb THEN round_even(loaded_climb_m, 4) END AS loaded_climb_m,
+    CASE WHEN NOT fb THEN round_even(empty_climb_m, 4) END AS empty_climb_m,
+    CASE WHEN NOT fb THEN round_even(loaded_desc_m, 4) END AS loaded_desc_m,
+    CASE WHEN NOT fb THEN round_even(avg_loading_time_sec, 4) END AS avg_loading_time_sec,
+    CASE WHEN NOT fb THEN n_unique_loaders END AS n_unique_loaders,
+    round_even(avg_cycle_sec, 4) AS avg_cycle_sec, round_even(std_cycle_sec, 4) AS std_cycle_sec,
+    CASE WHEN fb THEN total_dist_spd_km * 0.5 ELSE loaded_dist_spd_km0 END AS loaded_dist_spd_km,
+    CASE WHEN fb THEN total_dist_spd_km * 0.5 ELSE empty_dist_spd_km0 END AS empty_dist_spd_km,
+    CASE WHEN fb THEN total_dist_hav_km * 0.5 ELSE loaded_dist_hav_km0 END AS loaded_dist_hav_km,
+    CASE WHEN fb THEN total_dist_hav_km * 0.5 ELSE empty_dist_hav_km0 END AS empty_dist_hav_km,
+    CASE WHEN fb THEN 0.5 ELSE loaded_ratio_hav0 END AS loaded_ratio_hav,
+    CASE WHEN fb THEN 0.5 ELSE loaded_ratio_spd0 END AS loaded_ratio_spd,
+    avg_speed_loaded, avg_speed_empty, speed_ratio_l_e, trips_per_hour, fb AS is_fallback
+  FROM trip2)"""
+
+EXTRA: list[str] = [TRIPS]
 
 
 def q(select: str) -> str:
@@ -292,4 +408,17 @@ FROM telemetry GROUP BY 1"""),
                       "FROM shiftf"),
     "operator_fill": q(f"SELECT {K}, mine_id, operator_id FROM shiftf"),
     "shift_features": q("SELECT * FROM shiftf"),
+    "stop_events": q("SELECT vehicle, date_dpr, shift_dpr, start_us, end_us, round_even(dur_sec, 6) AS dur_sec, "
+                     "round_even(d_utm_x, 4) AS d_utm_x, round_even(d_utm_y, 4) AS d_utm_y, round_even(d_alt, 4) AS d_alt, "
+                     "mine_anon FROM stops2"),
+    "loader_asof": q("SELECT vehicle, start_us, l_id, l_ts_us, round_even(d2d, 4) AS d2d, round_even(dz, 4) AS dz FROM lnear"),
+    "loading_events": q("SELECT vehicle, date_dpr, shift_dpr, start_us, end_us, l_id, l_ts_us, round_even(d2d, 4) AS d2d, "
+                        "round_even(dz, 4) AS dz FROM conf"),
+    "body_edges": q("SELECT vehicle, rise_us, fall_us, round_even(dur_sec, 6) AS dur_sec FROM analog_ev"),
+    "geofence_dumps": q("SELECT vehicle, date_dpr, shift_dpr, start_us, end_us, zone_id FROM geo_ev"),
+    "event_marks": q("SELECT vehicle, ping_id, ev_flag FROM st0"),
+    "trip_state": q("SELECT vehicle, ping_id, state, new_trip FROM st2"),
+    "trip_features": q("SELECT * EXCLUDE (is_fallback) FROM tripf"),
+    "fallback_split": q(f"SELECT {K}, is_fallback, loaded_dist_hav_km, empty_dist_hav_km, loaded_ratio_hav, "
+                        "loaded_ratio_spd FROM tripf"),
 }

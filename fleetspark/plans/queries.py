@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import utm_expr
 from ..functions.nulls import r4, round_np
-from ..operators.clean import clean_haulers, vehicle_class
+from ..operators.clean import clean_haulers, clean_loaders, vehicle_class
+from ..operators.asof import nearest_loaders
+from ..operators.shift import ping_measures
+from ..operators.stops import load_candidates
+from ..operators.trips import TripEvents, marked_pings, trip_events, trip_features, trip_state
+from ..sources.dims import fleet_classes
 from ..operators.pings import ping_pass
 from ..operators.shift import shift_features
 from ..params import Params
@@ -53,6 +58,27 @@ class Ctx:
         from ..params import DPR_COLS
         return self.get("shift", lambda: self.shift_dpr.drop(*[c for c in DPR_COLS if c in self.shift_dpr.columns]))
 
+    @property
+    def loaders(self) -> DataFrame:
+        return self.get("loaders", lambda: clean_loaders(self.inp.telemetry, self.p))
+
+    @property
+    def fleet_cls(self) -> DataFrame:
+        return self.get("fleet_cls", lambda: fleet_classes(self.inp.fleet))
+
+    @property
+    def events(self) -> TripEvents:
+        return self.get("events", lambda: trip_events(self.pings, self.loaders, self.fleet_cls, self.inp.zones, self.p))
+
+    @property
+    def state(self) -> DataFrame:
+        return self.get("state", lambda: trip_state(marked_pings(ping_measures(self.pings, self.p), self.events, self.p)))
+
+    @property
+    def trips(self) -> DataFrame:
+        return self.get("trips", lambda: trip_features(self.pings, self.loaders, self.fleet_cls, self.inp.zones,
+                                                       self.shift, self.p, ev=self.events))
+
 
 def _ctx(spark, sf_dir) -> Ctx:
     return Ctx(spark, sf_dir)
@@ -84,6 +110,52 @@ def q_gap_status(spark, sf_dir):
     return _ctx(spark, sf_dir).pings.select("vehicle", "ping_id", r4("fuel_delta").alias("fuel_delta"), "gap_status")
 
 
+def q_stop_events(spark, sf_dir):
+    s = _ctx(spark, sf_dir).events.stops
+    return s.select("vehicle", "date_dpr", "shift_dpr", "start_us", "end_us", round_np("dur_sec", 6).alias("dur_sec"),
+                    r4("d_utm_x").alias("d_utm_x"), r4("d_utm_y").alias("d_utm_y"), r4("d_alt").alias("d_alt"),
+                    "mine_anon")
+
+
+def q_loader_asof(spark, sf_dir):
+    c = _ctx(spark, sf_dir)
+    n = nearest_loaders(load_candidates(c.events.stops, c.p), c.loaders, c.p)
+    return n.select("vehicle", "start_us", "l_id", "l_ts_us", r4("d2d").alias("d2d"), r4("dz").alias("dz"))
+
+
+def q_loading_events(spark, sf_dir):
+    l = _ctx(spark, sf_dir).events.loads
+    return l.select("vehicle", "date_dpr", "shift_dpr", "start_us", "end_us", "l_id", "l_ts_us",
+                    r4("d2d").alias("d2d"), r4("dz").alias("dz"))
+
+
+def q_body_edges(spark, sf_dir):
+    a = _ctx(spark, sf_dir).events.analog
+    return a.select("vehicle", "rise_us", "fall_us", round_np("dur_sec", 6).alias("dur_sec"))
+
+
+def q_geofence_dumps(spark, sf_dir):
+    g = _ctx(spark, sf_dir).events.geofence
+    return g.select("vehicle", "date_dpr", "shift_dpr", "start_us", "end_us", "zone_id")
+
+
+def q_event_marks(spark, sf_dir):
+    return _ctx(spark, sf_dir).state.select("vehicle", "ping_id", "ev_flag")
+
+
+def q_trip_state(spark, sf_dir):
+    return _ctx(spark, sf_dir).state.select("vehicle", "ping_id", "state", "new_trip")
+
+
+def q_trip_features(spark, sf_dir):
+    return _ctx(spark, sf_dir).trips.drop("is_fallback")
+
+
+def q_fallback_split(spark, sf_dir):
+    return _ctx(spark, sf_dir).trips.select(*K, "is_fallback", "loaded_dist_hav_km", "empty_dist_hav_km",
+                                            "loaded_ratio_hav", "loaded_ratio_spd")
+
+
 def _shift_cols(*cols):
     return lambda spark, sf_dir: _ctx(spark, sf_dir).shift.select(*K, *cols)
 
@@ -106,4 +178,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stop_density": _shift_cols("n_stops", "stopgo_intensity", "stoppage_per_hour", "dist_per_stop", "elev_per_dist"),
     "operator_fill": _shift_cols("mine_id", "operator_id"),
     "shift_features": lambda spark, sf_dir: _ctx(spark, sf_dir).shift,
+    "stop_events": q_stop_events,
+    "loader_asof": q_loader_asof,
+    "loading_events": q_loading_events,
+    "body_edges": q_body_edges,
+    "geofence_dumps": q_geofence_dumps,
+    "event_marks": q_event_marks,
+    "trip_state": q_trip_state,
+    "trip_features": q_trip_features,
+    "fallback_split": q_fallback_split,
 }
