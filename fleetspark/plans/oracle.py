@@ -374,7 +374,72 @@ tripf AS (
     avg_speed_loaded, avg_speed_empty, speed_ratio_l_e, trips_per_hour, fb AS is_fallback
   FROM trip2)"""
 
-EXTRA: list[str] = [TRIPS]
+INTER = """
+    round_even(mean_gradient_pct * total_dist_hav_km, 4) AS gradient_work_hav,
+    round_even(mean_gradient_pct * total_dist_spd_km, 4) AS gradient_work_spd,
+    round_even(coalesce(loaded_dist_hav_km * net_lift_m, 0), 4) AS loaded_lift_proxy,
+    round_even(coalesce(nullif(total_dist_hav_km, 0) / nullif(calc_trips, 0), 0), 4) AS dist_per_trip,
+    round_even(coalesce(loaded_dist_hav_km / nullif(calc_trips, 0), 0), 4) AS loaded_km_per_trip,
+    round_even(coalesce(abs(loaded_dist_hav_km - empty_dist_hav_km), 0), 4) AS haul_imbalance,
+    round_even(coalesce(gross_elev_m / nullif(calc_trips, 0), 0), 4) AS elev_per_trip,
+    round_even(avg_speed_loaded / (avg_speed_empty + 1e-6), 4) AS speed_efficiency,
+    round_even(avg_speed_loaded / (abs(mean_uphill_grad) + 1e-6), 4) AS loaded_kmh_per_grad,
+    round_even(coalesce(trips_per_hour * coalesce(loaded_dist_hav_km, 0), 0), 4) AS cycle_efficiency,
+    stopgo_intensity AS stoppage_density"""
+
+ASSEMBLE = f"""
+labels AS (
+  SELECT vehicle AS dumper_id, date AS date_dpr, trim(shift) AS shift,
+    round_even(CASE WHEN initlev + arefill - endlev IS NULL THEN NULL
+                    ELSE greatest(initlev + arefill - endlev, 0.0) END, 4) AS fuel_consumed_L,
+    CASE WHEN coalesce(arefill > 0, false) THEN 1 ELSE 0 END AS had_refill, runhrs,
+    CASE WHEN isinf(lph) OR isnan(lph) THEN NULL ELSE lph END AS lph, initlev, endlev
+  FROM fuel_summary),
+testkeys AS (SELECT DISTINCT vehicle AS dumper_id, date AS date_dpr, trim(shift) AS shift FROM id_mapping),
+shift_train AS (
+  SELECT s.* FROM shiftf s WHERE NOT EXISTS (SELECT 1 FROM testkeys k WHERE k.dumper_id IS NOT DISTINCT FROM s.dumper_id
+    AND k.date_dpr IS NOT DISTINCT FROM s.date_dpr AND k.shift IS NOT DISTINCT FROM s.shift)),
+shift_test AS (
+  SELECT s.* FROM shiftf s WHERE EXISTS (SELECT 1 FROM testkeys k WHERE k.dumper_id IS NOT DISTINCT FROM s.dumper_id
+    AND k.date_dpr IS NOT DISTINCT FROM s.date_dpr AND k.shift IS NOT DISTINCT FROM s.shift)),
+ftrain0 AS (
+  SELECT s.*, t.* EXCLUDE (dumper_id, date_dpr, shift, is_fallback), l.* EXCLUDE (dumper_id, date_dpr, shift)
+  FROM shift_train s
+  LEFT JOIN tripf t ON t.dumper_id IS NOT DISTINCT FROM s.dumper_id AND t.date_dpr IS NOT DISTINCT FROM s.date_dpr
+                   AND t.shift IS NOT DISTINCT FROM s.shift
+  LEFT JOIN labels l ON l.dumper_id IS NOT DISTINCT FROM s.dumper_id AND l.date_dpr IS NOT DISTINCT FROM s.date_dpr
+                    AND l.shift IS NOT DISTINCT FROM s.shift),
+final_train AS (SELECT *, {{INTER}} FROM ftrain0),
+ftest0 AS (
+  SELECT s.*, t.* EXCLUDE (dumper_id, date_dpr, shift, is_fallback)
+  FROM shift_test s
+  LEFT JOIN tripf t ON t.dumper_id IS NOT DISTINCT FROM s.dumper_id AND t.date_dpr IS NOT DISTINCT FROM s.date_dpr
+                   AND t.shift IS NOT DISTINCT FROM s.shift),
+final_test AS (
+  SELECT f.*, m.id FROM (SELECT *, {{INTER}} FROM ftest0) f
+  LEFT JOIN (SELECT id, vehicle, date, trim(shift) AS shift FROM id_mapping) m
+    ON m.vehicle IS NOT DISTINCT FROM f.dumper_id AND m.date IS NOT DISTINCT FROM f.date_dpr
+   AND m.shift IS NOT DISTINCT FROM f.shift)""".replace("{INTER}", INTER)
+
+REPORTS = """
+agree AS (
+  SELECT * FROM (VALUES ('prod_hrs', 'prod_hr_dpr'), ('total_dist_hav_km', 'km_dpr'), ('total_dist_spd_km', 'km_dpr'),
+                        ('total_dist_hav_km', 'cumdist_range')) v(calc, ref)),
+agree_long AS (
+  SELECT 'prod_hrs' AS calc, 'prod_hr_dpr' AS ref, prod_hrs AS c, prod_hr_dpr AS r FROM shiftdpr
+  UNION ALL SELECT 'total_dist_hav_km', 'km_dpr', total_dist_hav_km, km_dpr FROM shiftdpr
+  UNION ALL SELECT 'total_dist_spd_km', 'km_dpr', total_dist_spd_km, km_dpr FROM shiftdpr
+  UNION ALL SELECT 'total_dist_hav_km', 'cumdist_range', total_dist_hav_km, cumdist_range FROM shiftdpr),
+agreement AS (
+  SELECT calc, ref, count(*) AS n, round_even(corr(c, r), 4) AS corr, round_even(avg(abs(c - r)), 4) AS mae,
+    round_even(median(c - r), 4) AS bias,
+    round_even(avg(CASE WHEN coalesce(abs((c - r) / nullif(r, 0)) * 100 <= 10, false) THEN 1.0 ELSE 0.0 END) * 100, 4) AS within_10_pct,
+    round_even(avg(CASE WHEN coalesce(abs((c - r) / nullif(r, 0)) * 100 <= 20, false) THEN 1.0 ELSE 0.0 END) * 100, 4) AS within_20_pct
+  FROM agree_long WHERE c IS NOT NULL AND r IS NOT NULL AND (r > 0 OR c > 0) GROUP BY calc, ref),
+miss0 AS (SELECT count(*) - count(COLUMNS(*)) FROM final_test),
+missing AS (UNPIVOT miss0 ON COLUMNS(*) INTO NAME column_name VALUE n_missing)"""
+
+EXTRA: list[str] = [TRIPS, ASSEMBLE, REPORTS]
 
 
 def q(select: str) -> str:
@@ -421,4 +486,18 @@ FROM telemetry GROUP BY 1"""),
     "trip_features": q("SELECT * EXCLUDE (is_fallback) FROM tripf"),
     "fallback_split": q(f"SELECT {K}, is_fallback, loaded_dist_hav_km, empty_dist_hav_km, loaded_ratio_hav, "
                         "loaded_ratio_spd FROM tripf"),
+    "fuel_labels": q("SELECT * FROM labels"),
+    "final_train": q("SELECT * FROM final_train"),
+    "final_test": q("SELECT * FROM final_test"),
+    "id_mapping": q(f"SELECT {K}, id FROM final_test"),
+    "missing_report": q("SELECT column_name, n_missing FROM missing WHERE n_missing > 0"),
+    "agreement_report": q("SELECT * FROM agreement"),
+    "coverage": q("""
+SELECT 'train_shifts' AS metric, cast(count(*) AS double) AS value FROM final_train
+UNION ALL SELECT 'fuel_rows', cast(count(fuel_consumed_L) AS double) FROM final_train
+UNION ALL SELECT 'test_shifts', cast(count(*) AS double) FROM final_test
+UNION ALL SELECT 'id_mapped', cast(count(id) AS double) FROM final_test
+UNION ALL SELECT 'dump_pings', cast(count(*) AS double) FROM hauler
+UNION ALL SELECT 'gps_ok_pct', round_even(avg(gps_ok) * 100, 4) FROM hauler
+UNION ALL SELECT 'loader_pings', cast(count(*) AS double) FROM loader"""),
 }

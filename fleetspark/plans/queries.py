@@ -17,6 +17,8 @@ from ..operators.asof import nearest_loaders
 from ..operators.shift import ping_measures
 from ..operators.stops import load_candidates
 from ..operators.trips import TripEvents, marked_pings, trip_events, trip_features, trip_state
+from ..operators.assemble import (agreement_report, assemble_test, assemble_train, coverage_report, fuel_labels,
+                                  missing_report, split_by_mapping)
 from ..sources.dims import fleet_classes
 from ..operators.pings import ping_pass
 from ..operators.shift import shift_features
@@ -74,6 +76,22 @@ class Ctx:
     def state(self) -> DataFrame:
         return self.get("state", lambda: trip_state(marked_pings(ping_measures(self.pings, self.p), self.events, self.p)))
 
+    @property
+    def labels(self) -> DataFrame:
+        return self.get("labels", lambda: fuel_labels(self.inp.fuel_summary))
+
+    @property
+    def split(self):
+        return self.get("split", lambda: split_by_mapping(self.shift, self.inp.id_mapping))
+
+    @property
+    def final_train(self) -> DataFrame:
+        return self.get("final_train", lambda: assemble_train(self.split[0], self.trips, self.labels))
+
+    @property
+    def final_test(self) -> DataFrame:
+        return self.get("final_test", lambda: assemble_test(self.split[1], self.trips, self.inp.id_mapping))
+
     @property
     def trips(self) -> DataFrame:
         return self.get("trips", lambda: trip_features(self.pings, self.loaders, self.fleet_cls, self.inp.zones,
@@ -156,6 +174,15 @@ def q_fallback_split(spark, sf_dir):
                                             "loaded_ratio_hav", "loaded_ratio_spd")
 
 
+def q_id_mapping(spark, sf_dir):
+    return _ctx(spark, sf_dir).final_test.select(*K, "id")
+
+
+def q_coverage(spark, sf_dir):
+    c = _ctx(spark, sf_dir)
+    return coverage_report(c.final_train, c.final_test, c.pings, c.loaders)
+
+
 def _shift_cols(*cols):
     return lambda spark, sf_dir: _ctx(spark, sf_dir).shift.select(*K, *cols)
 
@@ -187,4 +214,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trip_state": q_trip_state,
     "trip_features": q_trip_features,
     "fallback_split": q_fallback_split,
+    "fuel_labels": lambda spark, sf_dir: _ctx(spark, sf_dir).labels,
+    "final_train": lambda spark, sf_dir: _ctx(spark, sf_dir).final_train,
+    "final_test": lambda spark, sf_dir: _ctx(spark, sf_dir).final_test,
+    "id_mapping": q_id_mapping,
+    "missing_report": lambda spark, sf_dir: missing_report(_ctx(spark, sf_dir).final_test),
+    "agreement_report": lambda spark, sf_dir: agreement_report(_ctx(spark, sf_dir).shift_dpr),
+    "coverage": q_coverage,
 }
