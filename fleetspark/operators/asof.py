@@ -17,8 +17,18 @@ from ..params import Params
 from .stops import STOP_KEY
 
 
+def dedupe_ties(right: DataFrame, group: str, t: str, tie: str, values: list[str]) -> DataFrame:
+    """One row per (group, time): the values of the first and of the last row
+    among rows sharing a timestamp (``first_<v>``, ``last_<v>`` by ``tie``).
+    Makes the nearest-row order key below unique inside a group."""
+    return right.groupBy(group, t).agg(
+        *[F.min_by(v, tie).alias(f"first_{v}") for v in values],
+        *[F.max_by(v, tie).alias(f"last_{v}") for v in values],
+    )
+
+
 def asof_nearest(left: DataFrame, left_key: list[str], left_t2: str, right: DataFrame, right_group: str,
-                 right_t: str, right_tie: str, tolerance_us: int, carry: list[str]) -> DataFrame:
+                 right_t: str, right_tie: str, tolerance_us: int, values: list[str]) -> DataFrame:
     """For every left row and every ``right_group`` value, the right row
     nearest in time within ``tolerance_us`` (inclusive).
 
@@ -26,24 +36,30 @@ def asof_nearest(left: DataFrame, left_key: list[str], left_t2: str, right: Data
     Ties follow ``pandas.merge_asof(direction='nearest')``: equal distance ->
     the earlier row; equal times at or before the left time -> the last row
     (highest ``right_tie``), after it -> the first (lowest ``right_tie``).
-    Returns ``left_key + [right_group] + carry + [right_t]``.
+    With one row per (group, time) the order key ``2*|2t - t2| + after`` is
+    unique in a group, so every value is a primitive ``min_by`` and the
+    aggregate stays a partial hash aggregate.
+    Returns ``left_key + [right_group, right_t] + values``.
     """
+    r = dedupe_ties(right, right_group, right_t, right_tie, values)
     b = F.floor(F.col(left_t2) / F.lit(2 * tolerance_us)).cast("bigint")
-    lx = left.withColumn("_bin", F.explode(F.array(b - 1, b, b + 1)))
-    rx = right.withColumn("_bin", F.floor(F.col(right_t) / F.lit(tolerance_us)).cast("bigint"))
+    lx = left.select(*left_key, F.explode(F.array(b - 1, b, b + 1)).alias("_bin"))
+    rx = r.withColumn("_bin", F.floor(F.col(right_t) / F.lit(tolerance_us)).cast("bigint"))
     j = lx.join(rx, "_bin")
-    diff2 = F.abs(F.col(right_t) * 2 - F.col(left_t2))
+    t2 = F.col(right_t) * 2
+    diff2 = F.abs(t2 - F.col(left_t2))
     j = j.where(diff2 <= 2 * tolerance_us)
-    tie = F.when(F.col(right_t) * 2 <= F.col(left_t2), -F.col(right_tie)).otherwise(F.col(right_tie))
-    best = F.min_by(F.struct(*[F.col(c) for c in carry + [right_t]]), F.struct(diff2, F.col(right_t), tie))
-    out = j.groupBy(*left_key, right_group).agg(best.alias("_m"))
-    return out.select(*left_key, right_group, *[F.col(f"_m.{c}").alias(c) for c in carry + [right_t]])
+    after = t2 > F.col(left_t2)
+    j = j.withColumn("_ord", diff2 * 2 + after.cast("long"))
+    for v in values:
+        j = j.withColumn(v, F.when(after, F.col(f"first_{v}")).otherwise(F.col(f"last_{v}")))
+    return j.groupBy(*left_key, right_group).agg(*[F.min_by(c, "_ord").alias(c) for c in [right_t] + values])
 
 
 def nearest_loaders(cands: DataFrame, loaders: DataFrame, p: Params) -> DataFrame:
     """Per (load candidate, loader): the loader ping nearest to the stop's
     midpoint within the tolerance, with 2-D distance and altitude gap."""
-    left_key = STOP_KEY + ["start_us", "end_us", "dur_sec", "mid2_us", "d_utm_x", "d_utm_y", "d_alt"]
+    left_key = STOP_KEY + ["start_us", "start_pid", "end_us", "dur_sec", "mid2_us", "d_utm_x", "d_utm_y", "d_alt"]
     m = asof_nearest(cands, left_key, "mid2_us", loaders, "l_id", "ts_us", "ping_id",
                      p.asof_tolerance_s * 1_000_000, ["l_x", "l_y", "l_alt"])
     dx = F.col("d_utm_x") - F.col("l_x")
@@ -55,10 +71,17 @@ def nearest_loaders(cands: DataFrame, loaders: DataFrame, p: Params) -> DataFram
 
 def confirmed_loads(near: DataFrame, p: Params) -> DataFrame:
     """Nearest loader per stop run (d2d ascending, NULL last, then loader id),
-    *then* the 50 m / 15 m test, as the reference orders them."""
-    keep = [c for c in near.columns if c not in ("vehicle", "stop_run")]
+    *then* the 50 m / 15 m test, as the reference orders them.
+
+    Rows with d2d above the limit are dropped before the top-1: if the
+    nearest loader is within the limit it survives the filter and stays
+    nearest; if not, the stop has no confirmed load either way.  The top-1
+    therefore runs on a small input."""
+    near = near.where(F.col("d2d") <= p.loader_max_dist_m)
+    run = ["vehicle", "run_us", "run_pid"]
+    keep = [c for c in near.columns if c not in run]
     best = F.min_by(F.struct(*[F.col(c) for c in keep]),
-                    F.struct(F.col("d2d").isNull(), F.col("d2d"), F.col("l_id"), F.col("start_us")))
-    top = near.groupBy("vehicle", "stop_run").agg(best.alias("_b"))
-    top = top.select("vehicle", "stop_run", *[F.col(f"_b.{c}").alias(c) for c in keep])
-    return top.where((F.col("d2d") <= p.loader_max_dist_m) & (F.col("dz") <= p.loader_max_dz_m))
+                    F.struct(F.col("d2d"), F.col("l_id"), F.col("start_us"), F.col("start_pid")))
+    top = near.groupBy(*run).agg(best.alias("_b"))
+    top = top.select(*run, *[F.col(f"_b.{c}").alias(c) for c in keep])
+    return top.where(F.col("dz") <= p.loader_max_dz_m)

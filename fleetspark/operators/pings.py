@@ -46,39 +46,37 @@ def ping_pass(clean: DataFrame, p: Params, is_train: bool = True) -> DataFrame:
 
     first_dt = p.first_dt_train if is_train else p.first_dt_test
     actual = F.coalesce(seconds_between("ts_us", "prev_ts_us"), F.lit(float(first_dt)))
-    d = d.withColumn("actual_dt_sec", actual)
-    d = d.withColumn("is_gap_300s", (F.col("actual_dt_sec") >= p.gap_s).cast("int"))
-    d = d.withColumn("dt_sec", F.least(F.col("actual_dt_sec"), F.lit(p.gap_s)))
-    gap = F.col("is_gap_300s") == 1
-
+    gap = actual >= p.gap_s
+    cols = {
+        "actual_dt_sec": actual,
+        "is_gap_300s": gap.cast("int"),
+        "dt_sec": F.least(actual, F.lit(p.gap_s)),
+    }
     if is_train and has_fuel:
-        d = d.withColumn("fuel_delta", F.when(gap, F.col("fuel_volume") - F.col("prev_fuel_volume")))
-        d = d.withColumn("gap_status", F.when(gap & (F.col("fuel_delta") >= p.blind_fuel_drop), "engine_off_stationary")
-                         .when(gap & (F.col("fuel_delta") < p.blind_fuel_drop), "engine_running_blind")
-                         .otherwise("normal"))
-    elif is_train:
-        d = d.withColumn("fuel_delta", F.lit(None).cast("double")).withColumn("gap_status", F.lit("normal"))
+        fd = F.when(gap, F.col("fuel_volume") - F.col("prev_fuel_volume"))
+        cols["fuel_delta"] = fd
+        cols["gap_status"] = (F.when(gap & (fd >= p.blind_fuel_drop), "engine_off_stationary")
+                              .when(gap & (fd < p.blind_fuel_drop), "engine_running_blind").otherwise("normal"))
     else:
-        d = d.withColumn("fuel_delta", F.lit(None).cast("double")).withColumn("gap_status", F.lit(None).cast("string"))
-
+        cols["fuel_delta"] = F.lit(None).cast("double")
+        cols["gap_status"] = F.lit("normal") if is_train else F.lit(None).cast("string")
     # Altitude change, NULL -> 0, forced 0 on gap rows (crosses shifts)
-    d = d.withColumn("adiff", F.when(gap, F.lit(0.0))
-                     .otherwise(F.coalesce(F.col("altitude") - F.col("prev_altitude"), F.lit(0.0))))
+    cols["adiff"] = F.when(gap, F.lit(0.0)).otherwise(F.coalesce(F.col("altitude") - F.col("prev_altitude"), F.lit(0.0)))
     # C4: heading change folded to [0, 180]; kept only on moving GPS rows later
     raw = F.abs(F.col("angle") - F.col("prev_angle"))
-    d = d.withColumn("angd_raw", F.when(raw > 180, F.lit(360.0) - raw).otherwise(raw))
+    cols["angd_raw"] = F.when(raw > 180, F.lit(360.0) - raw).otherwise(raw)
     # C5 / C6 edges (previous NULL counts as 0)
-    d = d.withColumn("ign_on_edge", flag((F.col("ignition") == 1) & (F.coalesce(F.col("prev_ignition"), F.lit(0)) == 0)))
-    d = d.withColumn("stop_edge", flag((F.col("speed") < p.moving_speed)
-                                       & (F.coalesce(F.col("prev_speed"), F.lit(0.0)) >= p.moving_speed)))
+    cols["ign_on_edge"] = flag((F.col("ignition") == 1) & (F.coalesce(F.col("prev_ignition"), F.lit(0)) == 0))
+    cols["stop_edge"] = flag((F.col("speed") < p.moving_speed)
+                             & (F.coalesce(F.col("prev_speed"), F.lit(0.0)) >= p.moving_speed))
     # C8 body-up edges; the first row at/after the analog cut is never an edge
     if has_analog:
-        after_cut = F.col("ts_us") >= p.analog_cut_us
-        prev_after_cut = flag(F.col("prev_ts_us") >= p.analog_cut_us)
-        edge_ok = after_cut & prev_after_cut
-        d = d.withColumn("bu_rise", edge_ok & (F.col("_bu") - F.col("prev__bu") == 1))
-        d = d.withColumn("bu_fall", edge_ok & (F.col("_bu") - F.col("prev__bu") == -1))
+        edge_ok = (F.col("ts_us") >= p.analog_cut_us) & flag(F.col("prev_ts_us") >= p.analog_cut_us)
+        cols["bu_rise"] = edge_ok & (F.col("_bu") - F.col("prev__bu") == 1)
+        cols["bu_fall"] = edge_ok & (F.col("_bu") - F.col("prev__bu") == -1)
     else:
-        d = d.withColumn("bu_rise", F.lit(False)).withColumn("bu_fall", F.lit(False))
+        cols["bu_rise"] = F.lit(False)
+        cols["bu_fall"] = F.lit(False)
+    d = d.withColumns(cols)
     drop = [c for c in d.columns if c.startswith("prev_") and c not in ("prev_angle",)] + ["_bu"]
     return d.drop(*[c for c in drop if c in d.columns])

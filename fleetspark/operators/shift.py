@@ -19,7 +19,7 @@ DIST_COLS = ["total_dist_spd_km", "total_dist_hav_km", "dist_steep_spd_km", "dis
 
 
 def ping_measures(d: DataFrame, p: Params) -> DataFrame:
-    """D1–D9 on the output of ``ping_pass``."""
+    """D1–D9 on the output of ``ping_pass`` (two projections)."""
     has_dh = "disthav" in d.columns
     gap = F.col("is_gap_300s") == 1
     normal = ~gap
@@ -33,48 +33,46 @@ def ping_measures(d: DataFrame, p: Params) -> DataFrame:
     tb = lambda cond: F.when(cond, dt).otherwise(F.lit(0.0))
     off_like = (normal & ~ign) | offst
     moving_gps = normal & ign & fast & gps
-    d = d.select(
-        "*",
-        tb((normal & ign) | blind).alias("_dt_eon"),
-        tb(off_like).alias("_dt_eoff"),
-        tb((normal & ign & fast) | blind).alias("_dt_prod"),
-        tb(normal & ign & slow).alias("_dt_idle"),
-        tb(off_like & (dt > p.maint_gap_s)).alias("_dt_maint"),
-        tb(blind).alias("_dt_blind"),
-        moving_gps.alias("moving_gps"),
-        blind.cast("int").alias("_nblind"),
-        offst.cast("int").alias("_noffst"),
-    )
-    d = d.withColumn("_d_spd", F.when(F.col("moving_gps"), F.col("speed") * F.col("dt_sec") / 3600).otherwise(0.0))
+    d_spd = F.when(moving_gps, F.col("speed") * F.col("dt_sec") / 3600).otherwise(0.0)
     if has_dh:
-        d = d.withColumn("_d_hav", F.when(gps & flag(F.col("disthav") > 0), F.col("disthav") / 1000).otherwise(0.0))
-        dist_m = F.col("_d_hav") * 1000
+        d_hav = F.when(gps & flag(F.col("disthav") > 0), F.col("disthav") / 1000).otherwise(0.0)
     else:
-        d = d.withColumn("_d_hav", F.col("_d_spd"))
-        dist_m = F.col("speed") * F.col("dt_sec") / 3.6
+        d_hav = d_spd
     a = F.col("adiff")
-    d = d.withColumn("_lift", F.when(gps & (a > 0), a).otherwise(0.0))
-    d = d.withColumn("_desc", F.when(gps & (a < 0), -a).otherwise(0.0))
-    d = d.withColumn("_gelev", F.when(gps, F.abs(a)).otherwise(0.0))
-    valid = F.col("moving_gps") & flag(dist_m > p.grad_min_dist_m)
-    d = d.withColumn("_valid_g", valid)
-    d = d.withColumn("_grad", F.when(valid, clip(a / dist_m * 100, -p.grad_clip, p.grad_clip)))
-    g = F.col("_grad")
-    v = F.col("_valid_g")
-    d = d.select(
-        "*",
-        F.abs(g).alias("_gradabs"),
-        F.when(v & (g > 0), g).alias("_grad_up"),
-        F.when(v & (g < 0), -g).alias("_grad_dn"),
-        F.when(v & flag(g > p.steep_grad), F.col("_d_spd")).otherwise(0.0).alias("_d_steep_spd"),
-        F.when(v & flag(g > p.steep_grad), F.col("_d_hav")).otherwise(0.0).alias("_d_steep_hav"),
-        F.when(v & flag(g > 0), F.col("_d_hav")).otherwise(0.0).alias("_d_up_hav"),
-        F.when(v & flag(g < 0), F.col("_d_hav")).otherwise(0.0).alias("_d_dn_hav"),
-        F.when(F.col("moving_gps") & F.col("prev_angle").isNotNull(), F.col("angd_raw")).alias("_angd"),
-    )
-    d = d.withColumn("_sharp_turn", flag(F.col("_angd") > p.sharp_turn_deg).cast("int"))
-    d = d.withColumn("_spd_mask", gps & fast & ign)
-    return d
+    d = d.withColumns({
+        "_dt_eon": tb((normal & ign) | blind),
+        "_dt_eoff": tb(off_like),
+        "_dt_prod": tb((normal & ign & fast) | blind),
+        "_dt_idle": tb(normal & ign & slow),
+        "_dt_maint": tb(off_like & (dt > p.maint_gap_s)),
+        "_dt_blind": tb(blind),
+        "moving_gps": moving_gps,
+        "_nblind": blind.cast("int"),
+        "_noffst": offst.cast("int"),
+        "_d_spd": d_spd,
+        "_d_hav": d_hav,
+        "_lift": F.when(gps & (a > 0), a).otherwise(0.0),
+        "_desc": F.when(gps & (a < 0), -a).otherwise(0.0),
+        "_gelev": F.when(gps, F.abs(a)).otherwise(0.0),
+        "_spd_mask": gps & fast & ign,
+    })
+    dist_m = F.col("_d_hav") * 1000 if has_dh else F.col("speed") * F.col("dt_sec") / 3.6
+    v = F.col("moving_gps") & flag(dist_m > p.grad_min_dist_m)
+    g = F.when(v, clip(a / dist_m * 100, -p.grad_clip, p.grad_clip))
+    angd = F.when(F.col("moving_gps") & F.col("prev_angle").isNotNull(), F.col("angd_raw"))
+    return d.withColumns({
+        "_valid_g": v,
+        "_grad": g,
+        "_gradabs": F.abs(g),
+        "_grad_up": F.when(v & (g > 0), g),
+        "_grad_dn": F.when(v & (g < 0), -g),
+        "_d_steep_spd": F.when(v & flag(g > p.steep_grad), F.col("_d_spd")).otherwise(0.0),
+        "_d_steep_hav": F.when(v & flag(g > p.steep_grad), F.col("_d_hav")).otherwise(0.0),
+        "_d_up_hav": F.when(v & flag(g > 0), F.col("_d_hav")).otherwise(0.0),
+        "_d_dn_hav": F.when(v & flag(g < 0), F.col("_d_hav")).otherwise(0.0),
+        "_angd": angd,
+        "_sharp_turn": flag(angd > p.sharp_turn_deg).cast("int"),
+    })
 
 
 def shift_aggregate(d: DataFrame, p: Params, with_dpr: bool = False) -> DataFrame:
@@ -116,35 +114,36 @@ def shift_aggregate(d: DataFrame, p: Params, with_dpr: bool = False) -> DataFram
 
 
 def derive_shift_features(a: DataFrame, p: Params) -> DataFrame:
-    """G1–G6 on the aggregate; renames the key to (dumper_id, date_dpr, shift)."""
-    for raw, hr in HOUR_COLS:
-        a = a.withColumn(hr, F.least(r4(F.col(raw) / 3600.0), F.lit(p.shift_cap_hrs)))
+    """G1–G6 on the aggregate; renames the key to (dumper_id, date_dpr, shift).
+    Rounding follows the reference's order (G2 and G5 use rounded inputs)."""
+    cols = {hr: F.least(r4(F.col(raw) / 3600.0), F.lit(p.shift_cap_hrs)) for raw, hr in HOUR_COLS}
+    cols.update({c: r4(fill0(c)) for c in DIST_COLS})
+    cols.update({c: r2(c) for c in ("net_lift_m", "net_descent_m", "gross_elev_m")})
+    cols.update({c: r4(fill0(c)) for c in ("alt_std", "mean_gradient_pct", "max_gradient_pct", "std_grad",
+                                            "mean_uphill_grad", "mean_downhill_grad", "mean_angle_change",
+                                            "std_angle_change", "total_turning_deg", "mean_speed", "max_speed",
+                                            "std_speed")})
+    cols["n_sharp_turns"] = F.coalesce(F.col("n_sharp_turns"), F.lit(0)).cast("int")
+    cols["gps_ok_pct"] = r2(F.col("gps_ok_pct") * 100)
+    cols["n_stops"] = F.greatest(F.col("n_stops"), F.lit(0)).cast("int")
+    a = a.withColumns(cols)
     tot_on = F.col("prod_hrs") + F.col("idle_hrs")
     over = tot_on > F.col("engine_on_hrs")
     scale = F.col("engine_on_hrs") / tot_on
-    a = a.withColumn("_over", over).withColumn("_scale", F.when(over, scale))
-    a = a.withColumn("prod_hrs", F.when(F.col("_over"), r4(F.col("prod_hrs") * F.col("_scale"))).otherwise(F.col("prod_hrs")))
-    a = a.withColumn("idle_hrs", F.when(F.col("_over"), r4(F.col("idle_hrs") * F.col("_scale"))).otherwise(F.col("idle_hrs")))
-    a = a.withColumn("idle_ratio", r4(fill0(div_or_null("idle_hrs", "engine_on_hrs"))))
-    for c in DIST_COLS:
-        a = a.withColumn(c, r4(fill0(c)))
-    for c in ("net_lift_m", "net_descent_m", "gross_elev_m"):
-        a = a.withColumn(c, r2(c))
-    for c in ("alt_std", "mean_gradient_pct", "max_gradient_pct", "std_grad", "mean_uphill_grad",
-              "mean_downhill_grad", "mean_angle_change", "std_angle_change", "total_turning_deg",
-              "mean_speed", "max_speed", "std_speed"):
-        a = a.withColumn(c, r4(fill0(c)))
-    a = a.withColumn("n_sharp_turns", F.coalesce(F.col("n_sharp_turns"), F.lit(0)).cast("int"))
-    a = a.withColumn("gps_ok_pct", r2(F.col("gps_ok_pct") * 100))
-    a = a.withColumn("n_stops", F.greatest(F.col("n_stops"), F.lit(0)).cast("int"))
+    a = a.withColumns({
+        "prod_hrs": F.when(over, r4(F.col("prod_hrs") * scale)).otherwise(F.col("prod_hrs")),
+        "idle_hrs": F.when(over, r4(F.col("idle_hrs") * scale)).otherwise(F.col("idle_hrs")),
+    })
     ref = F.nullif(F.col("total_dist_hav_km"), F.lit(0.0))
-    a = a.withColumn("stopgo_intensity", r4(fill0(F.try_divide(F.col("n_stops"), ref))))
-    a = a.withColumn("stoppage_per_hour", r4(fill0(div_or_null("n_stops", "engine_on_hrs"))))
-    a = a.withColumn("dist_per_stop", r4(fill0(F.try_divide(ref, F.nullif(F.col("n_stops"), F.lit(0))))))
-    a = a.withColumn("elev_per_dist", r4(fill0(F.try_divide(F.col("gross_elev_m"), ref))))
-    a = a.withColumnRenamed("vehicle", "dumper_id").withColumnRenamed("shift_dpr", "shift")
-    a = fill_operator(a)
-    return a.drop("_over", "_scale", *[raw for raw, _ in HOUR_COLS])
+    a = a.withColumns({
+        "idle_ratio": r4(fill0(div_or_null("idle_hrs", "engine_on_hrs"))),
+        "stopgo_intensity": r4(fill0(F.try_divide(F.col("n_stops"), ref))),
+        "stoppage_per_hour": r4(fill0(div_or_null("n_stops", "engine_on_hrs"))),
+        "dist_per_stop": r4(fill0(F.try_divide(ref, F.nullif(F.col("n_stops"), F.lit(0))))),
+        "elev_per_dist": r4(fill0(F.try_divide(F.col("gross_elev_m"), ref))),
+    })
+    a = a.withColumnsRenamed({"vehicle": "dumper_id", "shift_dpr": "shift"}).drop(*[raw for raw, _ in HOUR_COLS])
+    return fill_operator(a)
 
 
 def fill_operator(a: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import first_non_null
 from ..params import Params
 
-STOP_KEY = ["vehicle", "date_dpr", "shift_dpr", "stop_run"]
+STOP_KEY = ["vehicle", "date_dpr", "shift_dpr", "run_us", "run_pid"]
 
 
 def stop_events(pings: DataFrame, p: Params) -> DataFrame:
@@ -16,8 +16,10 @@ def stop_events(pings: DataFrame, p: Params) -> DataFrame:
     position and altitude, first mine, duration and twice the midpoint
     (``mid2_us``; the midpoint itself can fall on half a microsecond)."""
     s = (pings.where(F.col("is_stp"))
+         .withColumn("run_us", F.col("stop_run.ts_us")).withColumn("run_pid", F.col("stop_run.ping_id"))
          .groupBy(*STOP_KEY)
          .agg(F.min("ts_us").alias("start_us"), F.max("ts_us").alias("end_us"),
+              F.min_by("ping_id", F.struct("ts_us", "ping_id")).alias("start_pid"),
               F.median("utm_x").alias("d_utm_x"), F.median("utm_y").alias("d_utm_y"),
               F.median("altitude").alias("d_alt"),
               first_non_null("mine_anon", "ts_us", "ping_id").alias("mine_anon")))

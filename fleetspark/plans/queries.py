@@ -98,8 +98,17 @@ class Ctx:
                                                        self.shift, self.p, ev=self.events))
 
 
+_CTX: dict = {}
+
+
 def _ctx(spark, sf_dir) -> Ctx:
-    return Ctx(spark, sf_dir)
+    """One plan context per (session, dataset): DataFrame plans are immutable
+    and lazy, so queries over the same tables share their construction."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _CTX:
+        _CTX.clear()
+        _CTX[key] = Ctx(spark, sf_dir)
+    return _CTX[key]
 
 
 def q_vehicle_split(spark, sf_dir):
