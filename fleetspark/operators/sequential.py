@@ -94,3 +94,24 @@ def shift_scoped_fill(df: DataFrame, key_cols: list[str], vehicle: str, value: s
     j = j.withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(upto), cf, F.lit(0.0)))
     j = j.withColumn(prev_out, F.coalesce(F.lag(out).over(w), cf, F.lit(0.0)))
     return j.drop("_kc")
+
+
+def shift_positions(df: DataFrame, key_cols: list[str], vehicle: str) -> DataFrame:
+    """Adds ``_pos`` (0-based index of the row inside its ``key_cols`` group,
+    in time order) and ``_n`` (rows in the group).  Bucket-local row numbers
+    plus per-bucket offsets from a small ``(vehicle, _bkt)`` table joined on
+    the partitioning columns; no group is gathered into one task."""
+    kkey = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in key_cols])
+    per = df.groupBy(vehicle, "_bkt", *key_cols).agg(F.count(F.lit(1)).alias("_c"))
+    wk = Window.partitionBy(vehicle, *key_cols)
+    per = per.select(vehicle, "_bkt", kkey.alias("k"),
+                     F.coalesce(F.sum("_c").over(wk.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)),
+                                F.lit(0)).alias("off"),
+                     F.sum("_c").over(wk).alias("n"))
+    m = per.groupBy(vehicle, "_bkt").agg(
+        F.map_from_entries(F.collect_list(F.struct("k", F.struct("off", "n").alias("v")))).alias("_pm"))
+    j = df.join(m, [vehicle, "_bkt"], "left")
+    w = Window.partitionBy(vehicle, "_bkt", *key_cols).orderBy(*ORDER)
+    e = F.element_at(F.col("_pm"), kkey)
+    j = j.withColumns({"_pos": e["off"] + F.row_number().over(w) - 1, "_n": e["n"]})
+    return j.drop("_pm")

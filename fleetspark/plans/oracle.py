@@ -439,7 +439,76 @@ agreement AS (
 miss0 AS (SELECT count(*) - count(COLUMNS(*)) FROM final_test),
 missing AS (UNPIVOT miss0 ON COLUMNS(*) INTO NAME column_name VALUE n_missing)"""
 
-EXTRA: list[str] = [TRIPS, ASSEMBLE, REPORTS]
+MODEL = """
+seqf AS (
+  SELECT vehicle, date_dpr, shift_dpr, ts_us, ping_id,
+    speed / 60.0 AS speed, (altitude - 500) / 300.0 AS altitude, cast(ignition AS double) AS ignition,
+    cast(gps_ok AS double) AS gps_ok, ln(1 + dt_sec) AS log_dt,
+    CASE WHEN coalesce(speed >= 2 AND ignition = 1, false) THEN 1.0 ELSE 0.0 END AS is_moving,
+    adiff / 10.0 AS adiff_norm, speed * dt_sec / 3600 AS spd_x_dt,
+    row_number() OVER (PARTITION BY vehicle, date_dpr, shift_dpr ORDER BY ts_us, ping_id) - 1 AS r,
+    count(*) OVER (PARTITION BY vehicle, date_dpr, shift_dpr) AS n
+  FROM p1),
+seqk AS (SELECT range AS k FROM range(0, 600)),
+seqr AS (
+  SELECT f.*, f.r AS pos FROM seqf f WHERE f.n >= 5 AND f.n <= 600
+  UNION ALL
+  SELECT f.*, k.k AS pos FROM seqf f JOIN seqk k
+    ON f.n > 600 AND ((k.k = 599 AND f.r = f.n - 1) OR (k.k < 599 AND floor(k.k * ((f.n - 1) / 599)) = f.r))),
+seq_train_keys AS (
+  SELECT DISTINCT vehicle, date_dpr, shift_dpr FROM seqr s
+  WHERE NOT EXISTS (SELECT 1 FROM testkeys k WHERE k.dumper_id = s.vehicle AND k.date_dpr IS NOT DISTINCT FROM s.date_dpr
+                    AND k.shift IS NOT DISTINCT FROM trim(s.shift_dpr))),
+seq_labels AS (
+  SELECT s.*, l.fuel_consumed_L AS label FROM seq_train_keys s
+  LEFT JOIN labels l ON l.dumper_id IS NOT DISTINCT FROM s.vehicle AND l.date_dpr IS NOT DISTINCT FROM s.date_dpr
+                    AND l.shift IS NOT DISTINCT FROM trim(s.shift_dpr)),
+mtrain AS (SELECT * FROM final_train WHERE coalesce(dumper_id LIKE 'Dump%', false) AND fuel_consumed_L IS NOT NULL),
+mtest AS (SELECT * FROM final_test WHERE coalesce(dumper_id LIKE 'Dump%', false)),
+mnum AS (SELECT dumper_id AS _d, date_dpr AS _t, shift AS _s,
+           COLUMNS(* EXCLUDE (dumper_id, date_dpr, shift, mine_id, operator_id, fuel_consumed_L, had_refill, runhrs,
+                              lph, initlev, endlev))::DOUBLE FROM mtrain),
+mlong AS (FROM mnum UNPIVOT INCLUDE NULLS (v FOR feature IN (COLUMNS(* EXCLUDE (_d, _t, _s))))),
+mmed AS (SELECT feature, median(v) AS median FROM mlong GROUP BY feature),
+mscale AS (
+  SELECT l.feature, avg(coalesce(l.v, m.median, 0)) AS mean, stddev_pop(coalesce(l.v, m.median, 0)) AS std
+  FROM mlong l JOIN mmed m USING (feature) GROUP BY l.feature),
+cat_src AS (SELECT dumper_id, shift, mine_id, operator_id FROM mtrain UNION ALL
+            SELECT dumper_id, shift, mine_id, operator_id FROM mtest),
+cat_vals AS (
+  SELECT DISTINCT 'dumper_id' AS feature, coalesce(cast(dumper_id AS varchar), 'Missing') AS value FROM cat_src
+  UNION SELECT DISTINCT 'shift', coalesce(cast(shift AS varchar), 'Missing') FROM cat_src
+  UNION SELECT DISTINCT 'mine_id', coalesce(cast(mine_id AS varchar), 'Missing') FROM cat_src
+  UNION SELECT DISTINCT 'operator_id', coalesce(cast(operator_id AS varchar), 'Missing') FROM cat_src),
+rate_lab AS (SELECT * FROM mtrain WHERE fuel_consumed_L IS NOT NULL AND engine_on_hrs > 0),
+fleet_rate AS (SELECT sum(fuel_consumed_L) / sum(engine_on_hrs) AS fr FROM rate_lab),
+veh_rate AS (SELECT dumper_id, sum(fuel_consumed_L) / sum(engine_on_hrs) AS vr FROM rate_lab GROUP BY dumper_id),
+pred_train AS (
+  SELECT t.dumper_id, t.date_dpr, t.shift, round_even(t.engine_on_hrs * f.fr, 4) AS pred_route,
+    round_even(t.engine_on_hrs * coalesce(v.vr, f.fr), 4) AS pred_full
+  FROM mtrain t CROSS JOIN fleet_rate f LEFT JOIN veh_rate v USING (dumper_id)),
+pred_test AS (
+  SELECT t.dumper_id, t.date_dpr, t.shift, round_even(t.engine_on_hrs * f.fr, 4) AS pred_route,
+    round_even(t.engine_on_hrs * coalesce(v.vr, f.fr), 4) AS pred_full
+  FROM mtest t CROSS JOIN fleet_rate f LEFT JOIN veh_rate v USING (dumper_id)),
+delta AS (
+  SELECT t.dumper_id, t.date_dpr, t.shift, t.fuel_consumed_L, p.pred_route, p.pred_full,
+    round_even(p.pred_full - p.pred_route, 4) AS efficiency_delta
+  FROM mtrain t JOIN pred_train p USING (dumper_id, date_dpr, shift)),
+daily AS (
+  SELECT a.dumper_id, a.date_dpr, round_even(a.actual, 4) AS actual_daily_L, round_even(p.pred, 4) AS pred_daily_L,
+    round_even(abs(p.pred - a.actual), 4) AS abs_error,
+    round_even(abs(p.pred - a.actual) / (a.actual + 1e-6) * 100, 4) AS pct_error
+  FROM (SELECT dumper_id, date_dpr, sum(fuel_consumed_L) AS actual FROM labels GROUP BY dumper_id, date_dpr) a
+  JOIN (SELECT dumper_id, date_dpr, sum(pred_full) AS pred FROM pred_train GROUP BY dumper_id, date_dpr) p
+    USING (dumper_id, date_dpr)),
+vrank AS (
+  SELECT dumper_id, mean_delta,
+    row_number() OVER (ORDER BY mean_delta DESC, dumper_id) AS rh,
+    row_number() OVER (ORDER BY mean_delta, dumper_id DESC) AS rl
+  FROM (SELECT dumper_id, avg(efficiency_delta) AS mean_delta FROM delta GROUP BY dumper_id) v)"""
+
+EXTRA: list[str] = [TRIPS, ASSEMBLE, REPORTS, MODEL]
 
 
 def q(select: str) -> str:
@@ -492,6 +561,35 @@ FROM telemetry GROUP BY 1"""),
     "id_mapping": q(f"SELECT {K}, id FROM final_test"),
     "missing_report": q("SELECT column_name, n_missing FROM missing WHERE n_missing > 0"),
     "agreement_report": q("SELECT * FROM agreement"),
+    "sequences": q("SELECT vehicle, date_dpr, shift_dpr AS shift, pos, least(n, 600) AS seq_len, "
+                   + ", ".join(f"round_even({c}, 6) AS {c}" for c in ("speed", "altitude", "ignition", "gps_ok", "log_dt",
+                                                                       "is_moving", "adiff_norm", "spd_x_dt"))
+                   + " FROM seqr"),
+    "label_stats": q("SELECT count(*) AS n_labelled, round_even(avg(label), 4) AS fuel_mean, "
+                     "round_even(stddev_pop(label), 4) AS fuel_std FROM seq_labels WHERE label > 0"),
+    "median_impute": q("SELECT feature, round_even(median, 6) AS median FROM mmed"),
+    "standardise": q("SELECT feature, round_even(mean, 6) AS mean, "
+                     "round_even(CASE WHEN std = 0 THEN 1.0 ELSE std END, 6) AS std FROM mscale"),
+    "label_encode": q("SELECT feature, value, cast(dense_rank() OVER (PARTITION BY feature ORDER BY value) - 1 AS integer) "
+                      "AS code FROM cat_vals"),
+    "efficiency_delta": q("SELECT * FROM delta"),
+    "daily_consistency": q("SELECT * FROM daily"),
+    "daily_summary": q("SELECT count(*) AS n_days, round_even(corr(pred_daily_L, actual_daily_L), 4) AS corr, "
+                       "round_even(avg(abs_error), 4) AS mae, round_even(avg(pct_error), 4) AS mape FROM daily"),
+    "vehicle_ranking": q("SELECT dumper_id, round_even(mean_delta, 4) AS mean_delta, "
+                         "CASE WHEN rh <= 15 THEN rh END AS rank_high, CASE WHEN rl <= 15 THEN rl END AS rank_low, "
+                         "CASE WHEN mean_delta > 0 THEN 'above_route' ELSE 'at_or_below_route' END AS sign "
+                         "FROM vrank WHERE rh <= 15 OR rl <= 15"),
+    "daily_series": q("""
+SELECT date_dpr, actual, predicted FROM (
+  SELECT date_dpr, round_even(sum(actual_daily_L), 4) AS actual, round_even(sum(pred_daily_L), 4) AS predicted,
+    row_number() OVER (ORDER BY date_dpr) AS rn, count(*) OVER () AS n
+  FROM daily GROUP BY date_dpr) t
+WHERE (rn - 1) % (CASE WHEN n > 30 THEN greatest(n // 30, 1) ELSE 1 END) = 0"""),
+    "submission": q("""
+SELECT m.id, round_even(coalesce(p.pred_full, (SELECT avg(fuel_consumed_L) FROM mtrain)), 4) AS Predicted
+FROM id_mapping m LEFT JOIN pred_test p ON p.dumper_id = m.vehicle AND p.date_dpr = m.date AND p.shift = trim(m.shift)
+ORDER BY m.id"""),
     "coverage": q("""
 SELECT 'train_shifts' AS metric, cast(count(*) AS double) AS value FROM final_train
 UNION ALL SELECT 'fuel_rows', cast(count(fuel_consumed_L) AS double) FROM final_train

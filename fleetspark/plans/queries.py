@@ -19,6 +19,11 @@ from ..operators.stops import load_candidates
 from ..operators.trips import TripEvents, marked_pings, trip_events, trip_features, trip_state
 from ..operators.assemble import (agreement_report, assemble_test, assemble_train, coverage_report, fuel_labels,
                                   missing_report, split_by_mapping)
+from ..operators.model import category_codes, cv_regression, feature_columns, feature_scout, median_stats, model_rows
+from ..operators.model import impute, scale_stats
+from ..operators.reports import (daily_consistency, daily_series, daily_summary, efficiency_delta, rate_predictions,
+                                 scatter_sample, submission, vehicle_ranking)
+from ..operators.sequence import attach_labels, embed, fuel_head, label_stats, sequence_rows, train_mae
 from ..sources.dims import fleet_classes
 from ..operators.pings import ping_pass
 from ..operators.shift import shift_features
@@ -92,6 +97,54 @@ class Ctx:
     def final_test(self) -> DataFrame:
         return self.get("final_test", lambda: assemble_test(self.split[1], self.trips, self.inp.id_mapping))
 
+    @property
+    def seq_rows(self) -> DataFrame:
+        return self.get("seq_rows", lambda: sequence_rows(self.pings, self.p))
+
+    @property
+    def test_keys(self) -> DataFrame:
+        m = self.inp.id_mapping
+        return self.get("test_keys", lambda: m.select(F.col("vehicle"), F.col("date").alias("date_dpr"),
+                                                      F.trim(F.col("shift")).alias("shift_dpr")).distinct())
+
+    def seq_split(self):
+        def build():
+            rows = self.seq_rows
+            test = rows.join(self.test_keys, ["vehicle", "date_dpr", "shift_dpr"], "left_semi")
+            train = rows.join(self.test_keys, ["vehicle", "date_dpr", "shift_dpr"], "left_anti")
+            return train, test
+        return self.get("seq_split", build)
+
+    @property
+    def seq_labels(self) -> DataFrame:
+        def build():
+            keys = self.seq_split()[0].select("vehicle", "date_dpr", "shift_dpr").distinct()
+            return attach_labels(keys, self.labels)
+        return self.get("seq_labels", build)
+
+    @property
+    def embedding(self):
+        return self.get("embedding", lambda: embed(*self.seq_split(), self.p))
+
+    @property
+    def model_split(self):
+        return self.get("model_split", lambda: model_rows(self.final_train, self.final_test))
+
+    @property
+    def rate_preds(self):
+        def build():
+            tr, te = self.model_split
+            return rate_predictions(tr, tr), rate_predictions(tr, te)
+        return self.get("rate_preds", build)
+
+    @property
+    def delta(self) -> DataFrame:
+        return self.get("delta", lambda: efficiency_delta(self.model_split[0], self.rate_preds[0]))
+
+    @property
+    def daily(self) -> DataFrame:
+        return self.get("daily", lambda: daily_consistency(self.labels, self.rate_preds[0]))
+
     @property
     def trips(self) -> DataFrame:
         return self.get("trips", lambda: trip_features(self.pings, self.loaders, self.fleet_cls, self.inp.zones,
@@ -192,6 +245,63 @@ def q_coverage(spark, sf_dir):
     return coverage_report(c.final_train, c.final_test, c.pings, c.loaders)
 
 
+def q_sequences(spark, sf_dir):
+    r = _ctx(spark, sf_dir).seq_rows
+    from ..params import SEQ_FEATURES
+    return r.select("vehicle", "date_dpr", F.col("shift_dpr").alias("shift"), "pos", "seq_len",
+                    *[round_np(c, 6).alias(c) for c in SEQ_FEATURES])
+
+
+def q_embedding(spark, sf_dir):
+    tr, te = _ctx(spark, sf_dir).embedding
+    return tr.withColumn("split", F.lit("train")).unionByName(te.withColumn("split", F.lit("test")))
+
+
+def q_seq_fuel_pred(spark, sf_dir):
+    c = _ctx(spark, sf_dir)
+    tr, te = fuel_head(*c.embedding, c.seq_labels, c.p)
+    return tr.withColumn("split", F.lit("train")).unionByName(te.withColumn("split", F.lit("test")))
+
+
+def q_seq_train_mae(spark, sf_dir):
+    c = _ctx(spark, sf_dir)
+    tr, _ = fuel_head(*c.embedding, c.seq_labels, c.p)
+    return train_mae(tr, c.seq_labels)
+
+
+def q_median_impute(spark, sf_dir):
+    tr, te = _ctx(spark, sf_dir).model_split
+    _, nums = feature_columns(tr, te)
+    return median_stats(tr, nums).select("feature", round_np(F.col("median").cast("double"), 6).alias("median"))
+
+
+def q_standardise(spark, sf_dir):
+    tr, te = _ctx(spark, sf_dir).model_split
+    _, nums = feature_columns(tr, te)
+    med = {r["feature"]: r["median"] for r in median_stats(tr, nums).collect()}
+    st = scale_stats(impute(tr, med, nums), nums)
+    return st.select("feature", round_np("mean", 6).alias("mean"), round_np("std", 6).alias("std"))
+
+
+def q_label_encode(spark, sf_dir):
+    tr, te = _ctx(spark, sf_dir).model_split
+    cats, _ = feature_columns(tr, te)
+    return category_codes(tr, te, cats)
+
+
+def q_feature_scout(spark, sf_dir):
+    c = _ctx(spark, sf_dir)
+    return feature_scout(*c.model_split, c.p)
+
+
+def q_cv_regression(spark, sf_dir):
+    c = _ctx(spark, sf_dir)
+    tr, te = c.model_split
+    _, _, s_route = cv_regression(tr, te, c.p, exclude_ids=True, tag="route")
+    _, _, s_full = cv_regression(tr, te, c.p, exclude_ids=False, tag="full")
+    return s_route.unionByName(s_full)
+
+
 def _shift_cols(*cols):
     return lambda spark, sf_dir: _ctx(spark, sf_dir).shift.select(*K, *cols)
 
@@ -230,4 +340,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_report": lambda spark, sf_dir: missing_report(_ctx(spark, sf_dir).final_test),
     "agreement_report": lambda spark, sf_dir: agreement_report(_ctx(spark, sf_dir).shift_dpr),
     "coverage": q_coverage,
+    "sequences": q_sequences,
+    "label_stats": lambda spark, sf_dir: label_stats(_ctx(spark, sf_dir).seq_labels),
+    "median_impute": q_median_impute,
+    "standardise": q_standardise,
+    "label_encode": q_label_encode,
+    "efficiency_delta": lambda spark, sf_dir: _ctx(spark, sf_dir).delta,
+    "daily_consistency": lambda spark, sf_dir: _ctx(spark, sf_dir).daily,
+    "daily_summary": lambda spark, sf_dir: daily_summary(_ctx(spark, sf_dir).daily),
+    "vehicle_ranking": lambda spark, sf_dir: vehicle_ranking(_ctx(spark, sf_dir).delta),
+    "daily_series": lambda spark, sf_dir: daily_series(_ctx(spark, sf_dir).daily),
+    "submission": lambda spark, sf_dir: submission(_ctx(spark, sf_dir).inp.id_mapping, _ctx(spark, sf_dir).rate_preds[1],
+                                                   _ctx(spark, sf_dir).model_split[0]),
+    # rows-only (model fitting / seeded sampling; no SQL oracle)
+    "embedding": q_embedding,
+    "seq_fuel_pred": q_seq_fuel_pred,
+    "seq_train_mae": q_seq_train_mae,
+    "feature_scout": q_feature_scout,
+    "cv_regression": q_cv_regression,
+    "scatter_sample": lambda spark, sf_dir: scatter_sample(_ctx(spark, sf_dir).delta),
 }
