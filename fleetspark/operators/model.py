@@ -1,8 +1,7 @@
 """Model preparation and cross-validated regression.
 
 The reference selects features with a LightGBM scout and regresses with a
-remote TabPFN service; both are re-aimed onto Spark ML (gradient-boosted
-trees).  Statistics (medians, means, standard deviations, category codes) are
+remote TabPFN service; both are re-aimed onto Spark ML (random forests).  Statistics (medians, means, standard deviations, category codes) are
 computed by Spark aggregates; only their one-row results reach the driver.
 """
 
@@ -11,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,14 +105,21 @@ def prepare(train: DataFrame, test: DataFrame, exclude_ids: bool = False, featur
     codes = category_codes(train, test, cats)
     tr, te = encode(tr, codes, cats), encode(te, codes, cats)
     va = VectorAssembler(inputCols=nums + cats, outputCol="features")
-    return Prepared(va.transform(tr), va.transform(te), nums + cats)
+    # cut the lineage before iterative fitting (small, shift-level tables)
+    return Prepared(va.transform(tr).checkpoint(eager=True), va.transform(te).checkpoint(eager=True), nums + cats)
+
+
+def _forest(p: Params) -> RandomForestRegressor:
+    """The regressor used by the scout and the cross-validation: a seeded
+    random forest (trees of one level are grown in one pass over the data)."""
+    return RandomForestRegressor(featuresCol="features", labelCol=TARGET, numTrees=60, maxDepth=6, seed=p.seed)
 
 
 def feature_scout(train: DataFrame, test: DataFrame, p: Params, exclude_ids: bool = False) -> DataFrame:
     """M4: tree importances on all candidate features; the top ``scout_top_k``
     non-embedding features, then every embedding column, then categoricals."""
     prep = prepare(train, test, exclude_ids)
-    model = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=30, maxDepth=4, seed=p.seed).fit(prep.train)
+    model = _forest(p).fit(prep.train)
     imp = model.featureImportances.toArray().tolist()
     spark = train.sparkSession
     rows = spark.createDataFrame([(f, float(v)) for f, v in zip(prep.features, imp)], "feature string, importance double")
@@ -134,8 +140,7 @@ def cv_regression(train: DataFrame, test: DataFrame, p: Params, exclude_ids: boo
     tr = prep.train.withColumn("_fold", F.pmod(F.xxhash64(*KEY, F.lit(p.seed)), F.lit(p.folds)))
     oof, tests, scores = [], [], []
     for i in range(p.folds):
-        m = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=50, maxDepth=4, seed=p.seed).fit(
-            tr.where(F.col("_fold") != i))
+        m = _forest(p).fit(tr.where(F.col("_fold") != i))
         o = m.transform(tr.where(F.col("_fold") == i)).select(*KEY, TARGET, F.col("prediction").alias("_p"))
         oof.append(o)
         tests.append(m.transform(prep.test).select(*KEY, F.col("prediction").alias("_p")))

@@ -88,6 +88,8 @@ def embed(train_rows: DataFrame, test_rows: DataFrame, p: Params):
     """Scaled slice matrix -> PCA(embed_dim) fitted on train."""
     tr, cols = slice_matrix(train_rows)
     te, _ = slice_matrix(test_rows)
+    # shift-level matrices: materialised once before the ML fits
+    tr, te = tr.checkpoint(eager=True), te.checkpoint(eager=True)
     for c in cols:
         if c not in te.columns:
             te = te.withColumn(c, F.lit(0.0))
@@ -113,8 +115,8 @@ def fuel_head(emb_train: DataFrame, emb_test: DataFrame, seq_labels: DataFrame,
     d = emb_train.join(lab, KEY, "left")
     d = d.withColumn("_fold", F.pmod(F.xxhash64(*KEY, F.lit(p.seed)), F.lit(p.folds)))
     va = VectorAssembler(inputCols=emb_cols, outputCol="_x")
-    d = va.transform(d)
-    te = va.transform(emb_test)
+    d = va.transform(d).checkpoint(eager=True)
+    te = va.transform(emb_test).checkpoint(eager=True)
     fit_rows = d.where(F.col("label") > 0).withColumn("_y", (F.col("label") - mean) / (std + 1e-6))
     oof, tests = [], []
     for i in range(p.folds):

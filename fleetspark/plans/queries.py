@@ -128,7 +128,12 @@ class Ctx:
 
     @property
     def model_split(self):
-        return self.get("model_split", lambda: model_rows(self.final_train, self.final_test))
+        def build():
+            # shift-level tables: materialised once to the checkpoint folder so
+            # statistics and iterative model fits do not replay the pipeline
+            tr, te = model_rows(self.final_train, self.final_test)
+            return tr.checkpoint(eager=True), te.checkpoint(eager=True)
+        return self.get("model_split", build)
 
     @property
     def rate_preds(self):
