@@ -52,8 +52,11 @@ def impute(df: DataFrame, medians: dict, nums: list[str]) -> DataFrame:
 
 
 def scale_stats(train_imp: DataFrame, nums: list[str]) -> DataFrame:
-    """M2: mean and population std on train (zero std -> 1)."""
-    row = train_imp.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in nums])
+    """M2: mean and population std on train (zero std -> 1).  The mean comes
+    from an exact decimal sum, so it does not depend on how rows are split
+    across partitions."""
+    exact_mean = lambda c: F.sum(F.col(c).cast("decimal(38,10)")).cast("double") / F.count(c)
+    row = train_imp.agg(*[F.struct(exact_mean(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in nums])
     long = row.unpivot([], nums, "feature", "s")
     return long.select("feature", F.col("s.mean").alias("mean"),
                        F.when(F.col("s.std") == 0, F.lit(1.0)).otherwise(F.col("s.std")).alias("std"))

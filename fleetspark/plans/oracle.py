@@ -471,7 +471,9 @@ mnum AS (SELECT dumper_id AS _d, date_dpr AS _t, shift AS _s,
 mlong AS (FROM mnum UNPIVOT INCLUDE NULLS (v FOR feature IN (COLUMNS(* EXCLUDE (_d, _t, _s))))),
 mmed AS (SELECT feature, median(v) AS median FROM mlong GROUP BY feature),
 mscale AS (
-  SELECT l.feature, avg(coalesce(l.v, m.median, 0)) AS mean, stddev_pop(coalesce(l.v, m.median, 0)) AS std
+  SELECT l.feature,
+    cast(sum(cast(coalesce(l.v, m.median, 0) AS decimal(38, 10))) AS double) / count(*) AS mean,
+    stddev_pop(coalesce(l.v, m.median, 0)) AS std
   FROM mlong l JOIN mmed m USING (feature) GROUP BY l.feature),
 cat_src AS (SELECT dumper_id, shift, mine_id, operator_id FROM mtrain UNION ALL
             SELECT dumper_id, shift, mine_id, operator_id FROM mtest),
