@@ -42,6 +42,7 @@ def asof_nearest(left: DataFrame, left_key: list[str], left_t2: str, right: Data
     Returns ``left_key + [right_group, right_t] + values``.
     """
     r = dedupe_ties(right, right_group, right_t, right_tie, values)
+    left_key = list(dict.fromkeys(list(left_key) + [left_t2]))
     b = F.floor(F.col(left_t2) / F.lit(2 * tolerance_us)).cast("bigint")
     lx = left.select(*left_key, F.explode(F.array(b - 1, b, b + 1)).alias("_bin"))
     rx = r.withColumn("_bin", F.floor(F.col(right_t) / F.lit(tolerance_us)).cast("bigint"))

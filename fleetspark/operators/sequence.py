@@ -54,7 +54,7 @@ def sequence_rows(pings: DataFrame, p: Params, max_len: int | None = None, min_l
     cands = F.array(kc - 1, kc, kc + 1)
     hit = F.filter(cands, lambda k: (k >= 0) & (k <= m - 1) & F.when(k == m - 1, r == n - 1)
                    .otherwise(F.floor(k * step) == r))
-    pos = F.when(n <= m, r).otherwise(F.element_at(hit, 1))
+    pos = F.when(n <= m, r).otherwise(F.try_element_at(hit, F.lit(1)))
     f = f.withColumn("pos", pos).where(F.col("pos").isNotNull())
     return f.select(*KEY, "pos", F.least(n, F.lit(m)).alias("seq_len"), *SEQ_FEATURES)
 
