@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from ..sources.dims import fleet_classes
 from ..operators.pings import ping_pass
 from ..operators.shift import shift_features
 from ..params import Params
+from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import FIXTURE_ANALOG_CUT_US, Inputs, load_inputs
 
 # the reference's analog cut (2026-02-17) lies after the fixture's 3.6 hours
@@ -40,6 +42,7 @@ class Ctx:
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params = FIXTURE_PARAMS):
         self.spark, self.p = spark, p
+        ensure_checkpoint_dir(spark)
         self.inp: Inputs = load_inputs(spark, sf_dir)
         self._cache: dict = {}
 
@@ -54,11 +57,19 @@ class Ctx:
 
     @property
     def pings(self) -> DataFrame:
-        return self.get("pings", lambda: ping_pass(self.clean, self.p, is_train=True))
+        # the ordered pass feeds the shift, stop, edge, mark and sequence plans;
+        # kept once (memory, spilling to disk; lost blocks recompute from lineage)
+        return self.get("pings", lambda: ping_pass(self.clean, self.p, is_train=True)
+                        .persist(StorageLevel.MEMORY_AND_DISK))
+
+    def close(self) -> None:
+        if "pings" in self._cache:
+            self._cache["pings"].unpersist()
 
     @property
     def shift_dpr(self) -> DataFrame:
-        return self.get("shift_dpr", lambda: shift_features(self.pings, self.p, with_dpr=True))
+        # stage table (shift level): materialised once to the checkpoint folder
+        return self.get("shift_dpr", lambda: shift_features(self.pings, self.p, with_dpr=True).checkpoint(eager=True))
 
     @property
     def shift(self) -> DataFrame:
@@ -91,11 +102,13 @@ class Ctx:
 
     @property
     def final_train(self) -> DataFrame:
-        return self.get("final_train", lambda: assemble_train(self.split[0], self.trips, self.labels))
+        return self.get("final_train", lambda: assemble_train(self.split[0], self.trips, self.labels)
+                        .checkpoint(eager=True))
 
     @property
     def final_test(self) -> DataFrame:
-        return self.get("final_test", lambda: assemble_test(self.split[1], self.trips, self.inp.id_mapping))
+        return self.get("final_test", lambda: assemble_test(self.split[1], self.trips, self.inp.id_mapping)
+                        .checkpoint(eager=True))
 
     @property
     def seq_rows(self) -> DataFrame:
@@ -153,7 +166,7 @@ class Ctx:
     @property
     def trips(self) -> DataFrame:
         return self.get("trips", lambda: trip_features(self.pings, self.loaders, self.fleet_cls, self.inp.zones,
-                                                       self.shift, self.p, ev=self.events))
+                                                       self.shift, self.p, ev=self.events).checkpoint(eager=True))
 
 
 _CTX: dict = {}
@@ -164,11 +177,18 @@ def _ctx(spark, sf_dir) -> Ctx:
     and lazy, so queries over the same tables share their construction."""
     key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _CTX:
-        _CTX.clear()
+        reset_contexts()
         _CTX[key] = Ctx(spark, sf_dir)
     return _CTX[key]
 
 
+def reset_contexts() -> None:
+    """Drop the shared plan contexts and release their cached pings."""
+    for c in _CTX.values():
+        c.close()
+    _CTX.clear()
+
+
 def q_vehicle_split(spark, sf_dir):
     t = _ctx(spark, sf_dir).inp.telemetry
     return (t.groupBy(vehicle_class().alias("vehicle_class"))

@@ -34,7 +34,10 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
     b = events.selectExpr(
         "event_id", "user_id", "event_type",
         "cast(round(value * 100) as bigint) as v",
-        f"{EPOCH_2026_US} + (unix_micros(cast(ts as timestamp)) - {EPOCH_2024_US}) div 200 as ts_us",
+        # epoch microseconds of the naive timestamp read as UTC, independent of
+        # the session time zone
+        f"{EPOCH_2026_US} + (timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) - {EPOCH_2024_US})"
+        " div 200 as ts_us",
     )
     raw = b.selectExpr(
         "event_id as ping_id",

@@ -53,6 +53,7 @@ def conform(raw: DataFrame) -> DataFrame:
     ``ping_id`` tie-break (the row order of a file is not a Spark notion)."""
     cols = []
     present = set(raw.columns)
+    ntz = "ts" in present and dict(raw.dtypes).get("ts") == "timestamp_ntz"
     for name, typ in {**REQUIRED, **OPTIONAL}.items():
         if name not in present:
             if name in REQUIRED:
@@ -60,7 +61,9 @@ def conform(raw: DataFrame) -> DataFrame:
             continue
         c = F.col(name)
         if name == "ts":
-            c = c.cast("timestamp")
+            # naive timestamps are UTC wall-clock: convert without the session zone
+            c = (F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"))
+                 if ntz else c.cast("timestamp"))
         elif name == "date_dpr":
             c = F.to_date(F.trim(c.cast("string")))
         elif typ == "string":
