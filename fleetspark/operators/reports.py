@@ -67,7 +67,8 @@ def vehicle_ranking(delta: DataFrame, n_show: int = 15) -> DataFrame:
 
     def top(order, name):
         t = v.orderBy(*order).limit(n_show)
-        return t.withColumn(name, F.row_number().over(Window.orderBy(*order))).select("dumper_id", "mean_delta", name)
+        return (t.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+                .select("dumper_id", "mean_delta", name))
 
     hi = top([F.desc("mean_delta"), F.asc("dumper_id")], "rank_high")
     lo = top([F.asc("mean_delta"), F.desc("dumper_id")], "rank_low")
