@@ -31,12 +31,15 @@ class TripEvents:
 
 def trip_events(pings: DataFrame, loaders: DataFrame, fleet_cls: DataFrame, zones: DataFrame | None,
                 p: Params) -> TripEvents:
-    stops = stop_events(pings, p)
-    loads = confirmed_loads(nearest_loaders(load_candidates(stops, p), loaders, p), p)
-    analog = body_up_events(pings, fleet_cls, p)
+    """Stops, confirmed loads and dump events.  Each is a small table read by
+    several consumers (marks, loading metadata, reports), so each is
+    materialised once to the checkpoint folder instead of being replayed."""
+    stops = stop_events(pings, p).checkpoint(eager=True)
+    loads = confirmed_loads(nearest_loaders(load_candidates(stops, p), loaders, p), p).checkpoint(eager=True)
+    analog = body_up_events(pings, fleet_cls, p).checkpoint(eager=True)
     dc = dump_candidates(stops, p)
     if zones is not None:
-        geo = geofence_events(dc, fleet_cls, zones, p, filter_altitude=zones_have_altitude(zones))
+        geo = geofence_events(dc, fleet_cls, zones, p, filter_altitude=zones_have_altitude(zones)).checkpoint(eager=True)
     else:
         geo = dc.limit(0).withColumn("zone_id", F.lit(None).cast("int"))
     cols = ["kind", "ts_us"] + (["vehicle"] if p.event_scope == "vehicle" else [])
