@@ -80,5 +80,13 @@ def first_non_null(c, *order) -> Column:
     return F.min_by(c, F.when(c.isNotNull(), F.struct(*[col_(o) for o in order])))
 
 
+def first_in_order(c, ord_col: str = "_ord") -> Column:
+    """First non-null value by a single long row order (see
+    ``sequential.ordered_pass``); primitive buffers keep the aggregate a hash
+    aggregate."""
+    c = col_(c)
+    return F.min_by(c, F.when(c.isNotNull(), F.col(ord_col)))
+
+
 def seconds_between(later_us, earlier_us) -> Column:
     return (col_(later_us) - col_(earlier_us)) / F.lit(1_000_000.0)

@@ -63,6 +63,9 @@ def ordered_pass(df: DataFrame, key: str, bucket_s: int, lags: list[str],
         "*",
         *[F.lag(c).over(w).alias(f"prev_{c}") for c in lag_cols],
         *[F.last(f"_v_{n}", ignorenulls=True).over(upto).alias(n) for n in running_last],
+        # one long that follows (ts_us, ping_id) within a key: bucket, then row
+        # inside the bucket; lets "first in time order" be a hash aggregate
+        (F.col("_bkt") * F.lit(1 << 32) + F.row_number().over(w)).alias("_ord"),
     )
     return out.where(~F.col("_carry")).drop("_carry", *[f"_v_{n}" for n in running_last])
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.nulls import clip, div_or_null, fill0, first_non_null, flag, r2, r4
+from ..functions.nulls import clip, div_or_null, fill0, first_in_order, first_non_null, flag, r2, r4
 from ..params import DPR_COLS, Params
 
 KEY = ["vehicle", "date_dpr", "shift_dpr"]
@@ -89,8 +89,7 @@ def shift_aggregate(d: DataFrame, p: Params, with_dpr: bool = False) -> DataFram
         s("_sharp_turn").alias("n_sharp_turns"),
         F.count("ts_us").alias("row_count"),
         F.avg("gps_ok").alias("gps_ok_pct"),
-        first_non_null("mine_anon", *order).alias("mine_id"),
-        first_non_null("operator_id", *order).alias("operator_id"),
+        first_in_order("operator_id").alias("operator_id"),
         *[s(f"_{c}").alias(n) for c, n in [("d_spd", "total_dist_spd_km"), ("d_hav", "total_dist_hav_km"),
                                            ("d_steep_spd", "dist_steep_spd_km"), ("d_steep_hav", "dist_steep_hav_km"),
                                            ("d_up_hav", "uphill_dist_hav_km"), ("d_dn_hav", "downhill_dist_hav_km"),
@@ -107,10 +106,14 @@ def shift_aggregate(d: DataFrame, p: Params, with_dpr: bool = False) -> DataFram
         aggs.append(clip(F.max("cumdist") - F.min("cumdist"), lo=0.0).alias("cumdist_range"))
     for c in ("total_trip", "rain_loss", "dense_fog"):
         if c in d.columns:
-            aggs.append(first_non_null(c, *order).alias(c))
+            aggs.append(first_in_order(c).alias(c))
     if with_dpr:
-        aggs += [first_non_null(c, *order).alias(c) for c in DPR_COLS if c in d.columns]
-    return d.groupBy(*KEY).agg(*aggs)
+        aggs += [first_in_order(c).alias(c) for c in DPR_COLS if c in d.columns]
+    main = d.groupBy(*KEY).agg(*aggs)
+    # the only string "first": a narrow aggregate of its own, so the wide one
+    # above stays a hash aggregate; joined back on the (shift-level) key
+    mine = d.where(F.col("mine_anon").isNotNull()).groupBy(*KEY).agg(F.min_by("mine_anon", "_ord").alias("mine_id"))
+    return main.join(mine, [main[k].eqNullSafe(mine[k]) for k in KEY], "left").select(main["*"], mine["mine_id"])
 
 
 def derive_shift_features(a: DataFrame, p: Params) -> DataFrame:

@@ -85,7 +85,6 @@ def trip_aggregate(st: DataFrame, p: Params) -> DataFrame:
         F.sum(F.when(il & (a < 0), -a).otherwise(0.0)).alias("loaded_desc_m"),
         z(ld_v).alias("_ld_sv"), F.count(ld_v).alias("_ld_sc"),
         z(em_v).alias("_em_sv"), F.count(em_v).alias("_em_sc"),
-        first_non_null("mine_anon", "ts_us", "ping_id").alias("mine_anon"),
     )
 
 
@@ -126,8 +125,9 @@ def apply_fallback(t: DataFrame, shift_feats: DataFrame, fleet_cls: DataFrame, p
     """H4: shifts of vehicles outside every fleet class (and, with
     ``fallback_mine002``, of mine002) split total distance 50/50; climb,
     descent and loading metadata become NULL."""
+    # the shift's first mine id is the shift features' mine_id (same pings, same rule)
     tot = shift_feats.select(F.col("dumper_id").alias("vehicle"), "date_dpr", F.col("shift").alias("shift_dpr"),
-                             "total_dist_hav_km", "total_dist_spd_km")
+                             "total_dist_hav_km", "total_dist_spd_km", F.col("mine_id").alias("mine_anon"))
     t = t.join(tot, KEY, "left")
     cls = fleet_cls.select("vehicle", (F.col("is_analog") | F.col("is_geo") | F.col("is_m2")).alias("_known"))
     t = t.join(cls, "vehicle", "left")
