@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,34 +20,50 @@ from .stops import dump_candidates, load_candidates, stop_events
 KEY = ["vehicle", "date_dpr", "shift_dpr"]
 
 
-@dataclass
 class TripEvents:
-    stops: DataFrame
-    loads: DataFrame      # confirmed loads (stop rows + loader)
-    analog: DataFrame     # body-up events
-    geofence: DataFrame   # zone hits
-    events: DataFrame     # kind, ts_us (the mark sources)
+    """Stops, confirmed loads and dump events.  Each is a small table read by
+    several consumers (marks, loading metadata, reports), so each is
+    materialised once to the checkpoint folder, on first use, instead of
+    being replayed."""
+
+    def __init__(self, pings: DataFrame, loaders: DataFrame, fleet_cls: DataFrame, zones: DataFrame | None,
+                 p: Params):
+        self._pings, self._loaders, self._cls, self._zones, self.p = pings, loaders, fleet_cls, zones, p
+
+    @cached_property
+    def stops(self) -> DataFrame:
+        return stop_events(self._pings, self.p).checkpoint(eager=True)
+
+    @cached_property
+    def loads(self) -> DataFrame:
+        near = nearest_loaders(load_candidates(self.stops, self.p), self._loaders, self.p)
+        return confirmed_loads(near, self.p).checkpoint(eager=True)
+
+    @cached_property
+    def analog(self) -> DataFrame:
+        return body_up_events(self._pings, self._cls, self.p).checkpoint(eager=True)
+
+    @cached_property
+    def geofence(self) -> DataFrame:
+        dc = dump_candidates(self.stops, self.p)
+        if self._zones is None:
+            return dc.limit(0).withColumn("zone_id", F.lit(None).cast("int"))
+        geo = geofence_events(dc, self._cls, self._zones, self.p, filter_altitude=zones_have_altitude(self._zones))
+        return geo.checkpoint(eager=True)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """kind, ts_us (and vehicle for event_scope='vehicle'): the mark sources."""
+        cols = ["kind", "ts_us"] + (["vehicle"] if self.p.event_scope == "vehicle" else [])
+        return (self.loads.select(F.lit("load").alias("kind"), F.col("end_us").alias("ts_us"), "vehicle")
+                .unionByName(self.analog.select(F.lit("dump").alias("kind"), F.col("fall_us").alias("ts_us"), "vehicle"))
+                .unionByName(self.geofence.select(F.lit("dump").alias("kind"), F.col("end_us").alias("ts_us"), "vehicle"))
+                .select(*cols).distinct())
 
 
 def trip_events(pings: DataFrame, loaders: DataFrame, fleet_cls: DataFrame, zones: DataFrame | None,
                 p: Params) -> TripEvents:
-    """Stops, confirmed loads and dump events.  Each is a small table read by
-    several consumers (marks, loading metadata, reports), so each is
-    materialised once to the checkpoint folder instead of being replayed."""
-    stops = stop_events(pings, p).checkpoint(eager=True)
-    loads = confirmed_loads(nearest_loaders(load_candidates(stops, p), loaders, p), p).checkpoint(eager=True)
-    analog = body_up_events(pings, fleet_cls, p).checkpoint(eager=True)
-    dc = dump_candidates(stops, p)
-    if zones is not None:
-        geo = geofence_events(dc, fleet_cls, zones, p, filter_altitude=zones_have_altitude(zones)).checkpoint(eager=True)
-    else:
-        geo = dc.limit(0).withColumn("zone_id", F.lit(None).cast("int"))
-    cols = ["kind", "ts_us"] + (["vehicle"] if p.event_scope == "vehicle" else [])
-    ev = (loads.select(F.lit("load").alias("kind"), F.col("end_us").alias("ts_us"), "vehicle")
-          .unionByName(analog.select(F.lit("dump").alias("kind"), F.col("fall_us").alias("ts_us"), "vehicle"))
-          .unionByName(geo.select(F.lit("dump").alias("kind"), F.col("end_us").alias("ts_us"), "vehicle"))
-          .select(*cols).distinct())
-    return TripEvents(stops, loads, analog, geo, ev)
+    return TripEvents(pings, loaders, fleet_cls, zones, p)
 
 
 def marked_pings(pings: DataFrame, ev: TripEvents, p: Params) -> DataFrame:
