@@ -17,8 +17,9 @@ Windows in a row with the same minimiser form a segment, and whole segments are
    induced by scanning the character buckets in order.  Common prefixes of
    neighbours give the windows that are equal; all but the first are removed.
 4. A bucket with more than ``SPLIT`` different segments (a common line in many
-   contexts) is dealt out again by window, so no task gets an unbounded bucket:
-   windows are summed up to their first occurrence by their 128-bit hash.
+   contexts) is dealt out again by the minimiser of longer strings (``FINER``) and goes through
+   2 and 3 once more, at last by single windows, of which equal ones are
+   summed up: no task gets an unbounded bucket.
 
 Result of ``dedup``: a row per input row with ``doc_id, rest`` (what is left, as
 bytes), ``n_bytes, n_removed, n_spans, kept_sha256``.  Null texts are empty.  Rows
@@ -42,6 +43,8 @@ from .common import map_arrow, mix64, stored, stream_arrow, table, text_of
 LENGTH = 100
 GRAM = 40
 SPLIT = 256
+#: Longer strings by which crowded buckets are dealt again; with the last, a segment is one window.
+FINER = (80, 94, 10**9)
 BITS = 1 << 28
 BLOCK = 1 << 16
 CHUNK = 1 << 20
@@ -324,8 +327,8 @@ def removed_spans(d: DataFrame, length: int = LENGTH, gram: int = GRAM, split: i
              .where("doc <> f.doc or th <> f.th or s <> f.s").select("doc", "th", "s", F.expr(f"s + n + {length - 1}").alias("e")))
     # buckets with different segments
     kinds = one.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    multi = one.join(kinds, "h").select("h", "f.*", "kinds")
-    want = multi.groupBy("doc", "th").agg(F.collect_list(F.struct("h", "s", "n", "kinds")).alias("w"))
+    want = (one.join(kinds, "h").select("h", "f.*", "kinds").groupBy("doc", "th")
+            .agg(F.collect_list(F.struct("h", "s", "n", "kinds")).alias("w")))
 
     def cut(b: pa.RecordBatch) -> list[tuple]:
         out = []
@@ -370,23 +373,39 @@ def removed_spans(d: DataFrame, length: int = LENGTH, gram: int = GRAM, split: i
         if rows:
             yield flush(rows)
 
-    few = bodies.where(F.col("kinds") <= split).select("h", "doc", "th", "s", "body").repartition("h").sortWithinPartitions("h")
-    inside = stream_arrow(few, suffix_arrays, "doc long, th long, s int, e int")
-
-    def windows(b: pa.RecordBatch) -> list:
-        out = []
-        for doc, th, s, body in zip(*(b.column(x).to_pylist() for x in ("doc", "th", "s", "body"))):
-            raw = np.frombuffer(body, np.uint8)
-            v = Hashed(raw).every(length)
-            w = Hashed(raw ^ np.uint8(0x5A)).every(length)
-            out.append((np.full(len(v), doc), np.full(len(v), th), s + np.arange(len(v)), mix64(v), mix64(w)))
-        doc, th, s, v, w = (np.concatenate(x) for x in zip(*out))
-        return [v.view(np.int64), w.view(np.int64), doc, th, s]
-
-    single = map_arrow(bodies.where(F.col("kinds") > split).select("doc", "th", "s", "body"), windows, "v long, w long, doc long, th long, s int")
-    head = single.groupBy("v", "w").agg(F.min(F.struct("doc", "th", "s")).alias("f"), F.count("*").alias("k")).where("k > 1").drop("k")
-    spread = (single.join(head, ["v", "w"]).where("doc <> f.doc or th <> f.th or s <> f.s").select("doc", "th", "s", F.expr(f"s + {length}").alias("e")))
-    return later.union(inside).union(spread)
+    spans = later
+    for finer in FINER:
+        few = bodies.where(F.col("kinds") <= split).select("h", "doc", "th", "s", "body").repartition("h").sortWithinPartitions("h")
+        spans = spans.union(stream_arrow(few, suffix_arrays, "doc long, th long, s int, e int"))
+        many = bodies.where(F.col("kinds") > split)
+        if many.isEmpty():
+            return spans
+        later, bodies = _dealt_finer(many, length, min(length, finer))
+        spans = spans.union(later)
+    return spans
+
+
+def _dealt_finer(many: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """The segments of crowded buckets, dealt again by the minimiser of longer strings:
+    ``(spans of later occurrences, bodies of buckets that still hold different segments)``."""
+    def run(b: pa.RecordBatch) -> list:
+        data, ends = _texts(b, "body")
+        first = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        start, n, h, c = segments(data, ends, length, gram)
+        row = np.searchsorted(ends, start, side="right")
+        s = b.column("s").to_numpy()[row] + start - first[row]
+        raw = data.tobytes()
+        return [h.view(np.int64), c.view(np.int64), b.column("doc").to_numpy()[row], b.column("th").to_numpy()[row], s, n,
+                [raw[i:i + k + length - 1] for i, k in zip(start.tolist(), n.tolist())]]
+
+    occ = stored(map_arrow(many.select("doc", "th", "s", "body"), run, "h long, c long, doc long, th long, s int, n int, body binary"), "finer")
+    one = occ.groupBy("h", "c").agg(F.min(F.struct("doc", "th", "s", "n", "body")).alias("f"), F.count("*").alias("k"))
+    one = stored(one, "first")
+    again = one.where("k > 1").select("h", "c", F.struct("f.doc", "f.th", "f.s").alias("f"))
+    later = (occ.drop("body").join(again, ["h", "c"]).where("doc <> f.doc or th <> f.th or s <> f.s")
+             .select("doc", "th", "s", F.expr(f"s + n + {length - 1}").alias("e")))
+    kinds = one.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    return later, one.join(kinds, "h").select("h", "kinds", "f.doc", "f.th", "f.s", "f.body")
 
 
 def dedup(docs: DataFrame, keep: list[str] | None = None, length: int = LENGTH, gram: int = GRAM, split: int = SPLIT) -> DataFrame:
