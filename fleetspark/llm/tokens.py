@@ -3,7 +3,7 @@
 ``word_bpe_49k.json`` lower-cases, drops white space and splits words by a
 pattern that never crosses white space, so the ids of a text are the ids of its
 words in a row.  Words repeat, so each worker keeps the
-ids of those it has seen (a bounded table, emptied when full); new ones are
+ids of those it has seen (bounded tables: a full one is put aside, and what is still in use comes back from it); new ones are
 encoded by the library in one batch.  ``tests/llm`` holds this against encoding
 whole texts."""
 
@@ -31,6 +31,8 @@ class ChunkEncoder:
         self.tok = Tokenizer.from_file(path)
         self.chunks: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_chunks: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     def _encode(self, new: list[str], table: dict[str, bytes]) -> None:
         for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
@@ -39,9 +41,12 @@ class ChunkEncoder:
     def learn(self, new: set[str]) -> None:
         """Put the ids of new chunks into ``self.chunks``."""
         if len(self.parts) > MAX_CACHED:
-            self.parts.clear()
-        split, odd, parts = {}, [], set()
+            self.parts, self.old_parts = {}, self.parts
+        split, odd, parts, old = {}, [], set(), self.old_chunks
         for w in new:
+            if w in old:
+                self.chunks[w] = old[w]
+                continue
             m = _SIMPLE(w)
             if m:
                 split[w] = p = (m[1].lower(), m[2])
@@ -50,7 +55,10 @@ class ChunkEncoder:
                 odd.append(w)
         parts.discard("")
         self.parts[""] = b""
-        self._encode([p for p in parts if p not in self.parts], self.parts)
+        parts = {p for p in parts if p not in self.parts}
+        again = parts & self.old_parts.keys()
+        self.parts.update((p, self.old_parts[p]) for p in again)
+        self._encode(list(parts - again), self.parts)
         self._encode(odd, self.chunks)
         for w, (a, b) in split.items():
             self.chunks[w] = self.parts[a] + self.parts[b]
@@ -62,7 +70,7 @@ class ChunkEncoder:
         for i in range(0, len(texts), 256):
             lists = [WORDS(t) for t in texts[i:i + 256]]
             if len(self.chunks) > MAX_CACHED:
-                self.chunks.clear()
+                self.chunks, self.old_chunks = {}, self.chunks
             get = self.chunks.get
             got = [list(map(get, ws)) for ws in lists]
             self.learn({w for ws, g in zip(lists, got) if None in g for w, x in zip(ws, g) if x is None})
