@@ -11,15 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _LOW = (1 << 33) - 1
 
 
 def global_row_number(df: DataFrame, order_cols: list, name: str = "rn") -> DataFrame:
     """Adds a 1-based ``name`` following ``order_cols`` (ties broken by the
     remaining columns so the numbering is deterministic)."""
+    ensure_checkpoint_dir(df.sparkSession)
     tie = [c for c in df.columns if c not in order_cols]
     # the offsets window below runs on one row per partition only
     ordered = df.orderBy(*order_cols, *sorted(tie)).withColumn("_mid", F.monotonically_increasing_id())
+    # one materialised sort: planned twice, its sampled range bounds may differ and rows would be lost
+    ordered = ordered.checkpoint(eager=True)
     ordered = ordered.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW)))
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(

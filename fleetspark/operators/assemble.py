@@ -140,6 +140,9 @@ def agreement_report(shift_dpr: DataFrame) -> DataFrame:
             r4(F.avg(F.coalesce(pe <= 10, F.lit(False)).cast("double")) * 100).alias("within_10_pct"),
             r4(F.avg(F.coalesce(pe <= 20, F.lit(False)).cast("double")) * 100).alias("within_20_pct"),
         ))
+    if not parts:
+        return shift_dpr.sparkSession.createDataFrame(
+            [], "calc string, ref string, n bigint, corr double, mae double, bias double, within_10_pct double, within_20_pct double")
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)

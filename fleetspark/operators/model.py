@@ -76,14 +76,18 @@ def category_codes(train: DataFrame, test: DataFrame, cats: list[str]) -> DataFr
     return v.withColumn("code", (F.dense_rank().over(Window.partitionBy("feature").orderBy("value")) - 1).cast("int"))
 
 
+def code_column(feature: str) -> str:
+    return f"{feature}_code"
+
+
 def encode(df: DataFrame, codes: DataFrame, cats: list[str]) -> DataFrame:
-    """Replace each categorical column by its code (small code table joined
-    per feature)."""
+    """Add the code of each categorical column as ``<column>_code`` (small code
+    table joined per feature); the columns themselves stay, as some are keys."""
     for c in cats:
-        m = codes.where(F.col("feature") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
+        m = codes.where(F.col("feature") == c).select(F.col("value").alias(f"_v_{c}"),
+                                                      F.col("code").cast("double").alias(code_column(c)))
         df = (df.withColumn(f"_v_{c}", F.coalesce(F.col(c).cast("string"), F.lit("Missing")))
-              .join(m, f"_v_{c}", "left").drop(f"_v_{c}").withColumn(c, F.col(f"_c_{c}").cast("double"))
-              .drop(f"_c_{c}"))
+              .join(m, f"_v_{c}", "left").drop(f"_v_{c}"))
     return df
 
 
@@ -107,7 +111,7 @@ def prepare(train: DataFrame, test: DataFrame, exclude_ids: bool = False, featur
     tr, te = z(tr), z(te)
     codes = category_codes(train, test, cats)
     tr, te = encode(tr, codes, cats), encode(te, codes, cats)
-    va = VectorAssembler(inputCols=nums + cats, outputCol="features")
+    va = VectorAssembler(inputCols=nums + [code_column(c) for c in cats], outputCol="features")
     # cut the lineage before iterative fitting (small, shift-level tables)
     return Prepared(va.transform(tr).checkpoint(eager=True), va.transform(te).checkpoint(eager=True), nums + cats)
 

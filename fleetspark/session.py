@@ -15,6 +15,10 @@ def get_spark(master: str | None = None, app: str = "fleetspark", shuffle_partit
     * session time zone UTC (all time arithmetic is on UTC microseconds)
     * AQE with partition coalescing and skew-join splitting
     * no web UI
+    * checkpoint files go with the tables they hold
+
+    Memory and the number of shuffle partitions are left to the submitter;
+    local runs pass them in.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -27,9 +31,10 @@ def get_spark(master: str | None = None, app: str = "fleetspark", shuffle_partit
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": "16g",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -6,6 +6,8 @@ that the same code runs against a shared file system on a cluster.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,9 @@ def normalise_header(df: DataFrame) -> DataFrame:
 def read_csv(spark: SparkSession, paths) -> DataFrame:
     if isinstance(paths, str):
         paths = [paths]
-    return normalise_header(spark.read.option("header", True).csv(paths))
+    # one read per file: a header names the columns of its own file only
+    files = [normalise_header(spark.read.option("header", True).csv(p)) for p in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), files)
 
 
 # --- fleet ------------------------------------------------------------------
