@@ -30,7 +30,7 @@ def run(spark):
     paths = Paths(train_telemetry=[f"{d}/telemetry_all.parquet"], test_telemetry=[f"{d}/telemetry_all.parquet"],
                   fleet=f"{d}/fleet.csv", fuel_summaries=[f"{d}/smry_jan.csv", f"{d}/smry_missing.csv"],
                   id_mapping=f"{d}/id_mapping.csv", zones=f"{d}/zones.geojson", out=f"{d}/out")
-    run_pipeline(spark, paths, Q.FIXTURE_PARAMS, stages=["preprocess", "features", "trips", "assemble"])
+    run_pipeline(spark, paths, Q.FIXTURE_PARAMS)
     return spark, paths, d
 
 
@@ -51,3 +51,45 @@ def test_file_pipeline_equals_query_registry(run):
     want_t = Q.QUERIES["trip_features"](spark, SF_SMALL)
     cols = sorted(want_t.columns)
     assert trips.select(cols).exceptAll(want_t.select(cols)).count() == 0
+
+
+def test_model_stage_keeps_the_keys(run):
+    spark, paths, _ = run
+    keys = ["dumper_id", "date_dpr", "shift"]
+    for tag in ("train", "test"):
+        final, pred = (spark.read.parquet(f"{paths.out}/{tag}_{x}") for x in ("final_seq", "predictions"))
+        final = final.where("dumper_id like 'Dump%'" + (" and fuel_consumed_L is not null" if tag == "train" else "")).select(keys)
+        assert [pred.schema[k].dataType for k in keys] == [final.schema[k].dataType for k in keys]
+        assert pred.count() == final.count()
+        assert final.exceptAll(pred.select(keys)).isEmpty()
+    assert spark.read.option("header", True).csv(f"{paths.out}/summary").count() == 1
+    ids = spark.read.option("header", True).csv(paths.id_mapping).count()
+    for name in ("submission_full_model", "submission_route_benchmark"):
+        got = spark.read.option("header", True).csv(f"{paths.out}/{name}")
+        assert got.count() == ids and got.select(got.columns[-1]).distinct().count() > 1
+
+
+def test_readers_unite_files_by_name(spark):
+    from fleetspark.sources.dims import read_csv
+    from fleetspark.sources.telemetry import read_telemetry
+    d = tempfile.mkdtemp(prefix="fs-read-")
+    for name, text in (("a.csv", "Vehicle, initlev\nv1,20\n"), ("b.csv", "initlev,vehicle,lph\n30,v2,1\n")):
+        with open(f"{d}/{name}", "w") as f:
+            f.write(text)
+    got = {(r.vehicle, r.initlev, r.lph) for r in read_csv(spark, [f"{d}/a.csv", f"{d}/b.csv"]).collect()}
+    assert got == {("v1", "20", None), ("v2", "30", "1")}
+    spark.sql("select 'v1' vehicle, cast(1 as float) speed, 3 satellites").write.parquet(f"{d}/t1")
+    spark.sql("select 'v2' vehicle, 2D speed, 4L satellites, 5D disthav").write.parquet(f"{d}/t2")
+    t = read_telemetry(spark, [f"{d}/t1", f"{d}/t2"])
+    assert {(r.vehicle, r.speed, r.satellites, r.disthav) for r in t.collect()} == {("v1", 1.0, 3, None), ("v2", 2.0, 4, 5.0)}
+
+
+def test_global_numbers_without_exchange_reuse(spark):
+    from fleetspark.functions.ranking import global_row_number
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        n = 300_000
+        rn = global_row_number(spark.range(n).select(F.xxhash64("id").alias("x")), ["x"])
+        assert rn.agg(F.count("rn"), F.countDistinct("rn"), F.min("rn"), F.max("rn")).first() == (n, n, 1, n)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
