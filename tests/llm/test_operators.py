@@ -165,7 +165,7 @@ def brute_join(rows, k, num, den):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("k,num,split", [(3, 90, 200), (5, 80, 4)])
+@pytest.mark.parametrize("k,num,split", [(3, 90, 200), (3, 90, 3), (5, 80, 4)])
 def test_ngram_join_against_brute_force(docs, k, num, split):
     rows = [(r.doc_id, r.text or "") for r in docs.collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.classes(docs, k, num, 100, split=split).collect()}
