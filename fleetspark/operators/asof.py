@@ -6,6 +6,9 @@ row lies in its bin or the two neighbours: the left side (the smaller one) is
 exploded to three bins and equi-joined with the right side on the bin.  Each
 right row meets a given left row at most once, and the nearest partner per
 (left row, right group) is chosen by a partial-aggregating ``min_by``.
+
+``close_pairs`` names the (stop, loader) pairs that can confirm a load before
+the as-of join, so the join grows with the loaders near a stop, not with the fleet.
 """
 
 from __future__ import annotations
@@ -39,14 +42,16 @@ def asof_nearest(left: DataFrame, left_key: list[str], left_t2: str, right: Data
     With one row per (group, time) the order key ``2*|2t - t2| + after`` is
     unique in a group, so every value is a primitive ``min_by`` and the
     aggregate stays a partial hash aggregate.
+    A left side that has a ``right_group`` column meets only that group.
     Returns ``left_key + [right_group, right_t] + values``.
     """
     r = dedupe_ties(right, right_group, right_t, right_tie, values)
     left_key = list(dict.fromkeys(list(left_key) + [left_t2]))
     b = F.floor(F.col(left_t2) / F.lit(2 * tolerance_us)).cast("bigint")
-    lx = left.select(*left_key, F.explode(F.array(b - 1, b, b + 1)).alias("_bin"))
+    paired = [right_group] if right_group in left.columns else []
+    lx = left.select(*left_key, *paired, F.explode(F.array(b - 1, b, b + 1)).alias("_bin"))
     rx = r.withColumn("_bin", F.floor(F.col(right_t) / F.lit(tolerance_us)).cast("bigint"))
-    j = lx.join(rx, "_bin")
+    j = lx.join(rx, ["_bin"] + paired)
     t2 = F.col(right_t) * 2
     diff2 = F.abs(t2 - F.col(left_t2))
     j = j.where(diff2 <= 2 * tolerance_us)
@@ -57,9 +62,30 @@ def asof_nearest(left: DataFrame, left_key: list[str], left_t2: str, right: Data
     return j.groupBy(*left_key, right_group).agg(*[F.min_by(c, "_ord").alias(c) for c in [right_t] + values])
 
 
+def close_pairs(cands: DataFrame, loaders: DataFrame, p: Params) -> DataFrame:
+    """The load candidates, each with every loader (``l_id``) that has any ping
+    within the time tolerance and the distance limit: a loader whose nearest
+    ping passes the limit is among them.
+
+    An equi-join on time bin and grid cell (bins one tolerance wide, cells a little
+    more than the limit) finds them, with the neighbours on the stops' side."""
+    tol = p.asof_tolerance_s * 1_000_000
+    cell = lambda c: F.floor(F.col(c) / F.lit(p.loader_max_dist_m + 1.0)).cast("bigint")
+    around = lambda c: F.explode(F.array(c - 1, c, c + 1))
+    seen = loaders.select("l_id", F.col("ts_us").alias("_l_us"), "l_x", "l_y", F.floor(F.col("ts_us") / F.lit(tol)).cast("bigint").alias("_bin"),
+                          cell("l_x").alias("_cx"), cell("l_y").alias("_cy"))
+    c = cands.select("*", around(F.floor(F.col("mid2_us") / F.lit(2 * tol)).cast("bigint")).alias("_bin"))
+    c = c.select("*", around(cell("d_utm_x")).alias("_cx"))
+    c = c.select("*", around(cell("d_utm_y")).alias("_cy"))
+    dx, dy = F.col("d_utm_x") - F.col("l_x"), F.col("d_utm_y") - F.col("l_y")
+    near = (F.abs(F.col("_l_us") * 2 - F.col("mid2_us")) <= 2 * tol) & (F.sqrt(dx * dx + dy * dy) <= p.loader_max_dist_m)
+    return c.join(seen, ["_bin", "_cx", "_cy"]).where(near).select(*cands.columns, "l_id").distinct()
+
+
 def nearest_loaders(cands: DataFrame, loaders: DataFrame, p: Params) -> DataFrame:
     """Per (load candidate, loader): the loader ping nearest to the stop's
-    midpoint within the tolerance, with 2-D distance and altitude gap."""
+    midpoint within the tolerance, with 2-D distance and altitude gap.  With
+    the output of ``close_pairs`` only those pairs are matched."""
     left_key = STOP_KEY + ["start_us", "start_pid", "end_us", "dur_sec", "mid2_us", "d_utm_x", "d_utm_y", "d_alt"]
     m = asof_nearest(cands, left_key, "mid2_us", loaders, "l_id", "ts_us", "ping_id",
                      p.asof_tolerance_s * 1_000_000, ["l_x", "l_y", "l_alt"])

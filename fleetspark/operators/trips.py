@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import first_non_null, flag, r4, safe_div
 from ..params import Params
-from .asof import confirmed_loads, nearest_loaders
+from .asof import close_pairs, confirmed_loads, nearest_loaders
 from .dumps import body_up_events, geofence_events, zones_have_altitude
 from .marks import event_bins, mark_pings
 from .sequential import shift_scoped_fill
@@ -36,7 +36,8 @@ class TripEvents:
 
     @cached_property
     def loads(self) -> DataFrame:
-        near = nearest_loaders(load_candidates(self.stops, self.p), self._loaders, self.p)
+        pairs = close_pairs(load_candidates(self.stops, self.p), self._loaders, self.p)
+        near = nearest_loaders(pairs, self._loaders, self.p)
         return confirmed_loads(near, self.p).checkpoint(eager=True)
 
     @cached_property
@@ -69,7 +70,7 @@ def trip_events(pings: DataFrame, loaders: DataFrame, fleet_cls: DataFrame, zone
 def marked_pings(pings: DataFrame, ev: TripEvents, p: Params) -> DataFrame:
     """F4 with a size-checked broadcast: the bin table is checkpointed to the
     shared checkpoint folder (cuts the event lineage and makes the count
-    cheap), then broadcast only under ``max_broadcast_rows``."""
+    cheap), then broadcast only under ``max_broadcast_bytes``."""
     bins = event_bins(ev.events, p).checkpoint(eager=True)
     return mark_pings(pings, bins, p, bins_rows=bins.count())
 

@@ -77,8 +77,8 @@ class Params:
     # (a vehicle's pings are split into buckets; the row before a bucket is
     # carried over, so results do not depend on the width).
     bucket_s: int = 86_400
-    # largest event-bin table broadcast to the ping scan for proximity marks
-    max_broadcast_rows: int = 2_000_000
+    # largest event-bin table, in bytes, broadcast to the ping scan for proximity marks
+    max_broadcast_bytes: int = 64 << 20
     # grid cell (metres) used to equi-join stop points with zone polygons
     zone_cell_m: float = 500.0
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetspark.functions.geo import point_in_polygons
-from fleetspark.operators.asof import asof_nearest
+from fleetspark.operators.asof import asof_nearest, close_pairs, nearest_loaders
 from fleetspark.operators.clean import clean_haulers
 from fleetspark.operators.marks import event_bins, mark_pings
 from fleetspark.operators.pings import ping_pass
@@ -124,3 +124,38 @@ def test_sequence_subsample_matches_numpy_linspace(spark, n):
 def test_short_shift_dropped(spark):
     d = pings(spark, [dict(t=5 * i) for i in range(4)])
     assert sequence_rows(d, P).count() == 0
+
+
+def test_close_pairs_hold_every_loader_that_can_confirm(spark):
+    """Pairs over cell and bin borders, null positions, and a loader that is near only at another time."""
+    rng = np.random.default_rng(5)
+    c = "vehicle string, date_dpr date, shift_dpr string, run_us long, run_pid long, start_us long, start_pid long, end_us long, dur_sec double, mid2_us long, d_utm_x double, d_utm_y double, d_alt double"
+    stops = [("Dump1", T0.date(), "A", i, i, t, i, t + 60_000_001, 60.0, 2 * t + 60_000_001, float(x), float(y), 600.0)
+             for i, (t, x, y) in enumerate(zip(rng.integers(0, 10**9, 60).tolist(), rng.integers(0, 300, 60), rng.integers(-150, 150, 60)))]
+    stops.append((*stops[0][:3], 99, 99, *stops[0][5:10], None, None, None))
+    cands = spark.createDataFrame(stops, c)
+    pid = iter(range(10**6))
+    loaders = spark.createDataFrame(
+        [(f"Exc{k}", t, next(pid), float(x), float(y), 600.0) for k in range(6)
+         for t, x, y in zip(rng.integers(0, 10**9, 40).tolist(), rng.integers(0, 300, 40), rng.integers(-150, 150, 40))]
+        + [("Exc9", 5, next(pid), None, None, None)], "l_id string, ts_us long, ping_id long, l_x double, l_y double, l_alt double")
+    cols = ["run_us", "l_id", "l_ts_us", "d2d"]
+    every = nearest_loaders(cands, loaders, P).where(F.col("d2d") <= P.loader_max_dist_m).select(*cols)
+    pairs = close_pairs(cands, loaders, P)
+    few = nearest_loaders(pairs, loaders, P).where(F.col("d2d") <= P.loader_max_dist_m).select(*cols)
+    assert every.count() > 20 and sorted(every.collect()) == sorted(few.collect())
+    assert pairs.count() < nearest_loaders(cands, loaders, P).count()
+
+
+@pytest.mark.parametrize("scope", ["fleet", "vehicle"])
+def test_marks_equal_a_scan_of_all_events(spark, scope):
+    p = P.with_(event_scope=scope)
+    rng = np.random.default_rng(3)
+    ev = [(k, int(t), v) for k in ("load", "dump") for v in ("Dump1", "Dump2") for t in rng.integers(0, 200, 12) * 1_000_000]
+    pg = [(v, i, int(t)) for v in ("Dump1", "Dump2") for i, t in enumerate(rng.integers(-20, 420, 150) * 500_000)]
+    bins = event_bins(spark.createDataFrame(ev, "kind string, ts_us long, vehicle string"), p)
+    near = lambda kind, v, t: any(k == kind and abs(e - t) <= 5_000_000 and (scope == "fleet" or w == v) for k, e, w in ev)
+    want = {(v, i): 1.0 if near("load", v, t) else 0.0 if near("dump", v, t) else None for v, i, t in pg}
+    for rows in (None, 3):  # shuffled and broadcast
+        got = mark_pings(spark.createDataFrame(pg, "vehicle string, ping_id long, ts_us long"), bins, p, bins_rows=rows)
+        assert {(r.vehicle, r.ping_id): r.ev_flag for r in got.collect()} == want
