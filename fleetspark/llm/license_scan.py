@@ -61,6 +61,71 @@ TEMPLATES = [
     (16, "Proprietary", "All rights reserved."),
 ]
 
+#: Usual names of common licences, and what stands before them in a notice.
+NAMES = [
+    ("MIT", "the MIT License"), ("MIT", "the terms of the MIT License"), ("Apache-2.0", "the Apache License, Version 2.0"),
+    ("Apache-2.0", "the Apache License 2.0"), ("Apache-2.0", "Apache 2.0"), ("BSD-2-Clause", "the BSD 2-Clause License"),
+    ("BSD-3-Clause", "the BSD 3-Clause License"), ("BSD-2-Clause", "the Simplified BSD License"),
+    ("BSD-3-Clause", "the Modified BSD License"), ("BSD-3-Clause", "the New BSD License"), ("BSD", "the BSD License"),
+    *[(f"{spdx}-{v}.0", f"the GNU {name} General Public License{how}".replace("GNU  ", "GNU "))
+      for spdx, name, vs in (("GPL", "", (2, 3)), ("LGPL", "Lesser", (3,)), ("AGPL", "Affero", (3,)))
+      for v in vs for how in (f", version {v}", f" v{v}.0", f" version {v}.0")],
+    ("LGPL-2.1", "the GNU Lesser General Public License, version 2.1"), ("LGPL-2.1", "the GNU Lesser General Public License v2.1"),
+    ("GPL", "the GNU General Public License"), ("LGPL", "the GNU Lesser General Public License"),
+    ("AGPL", "the GNU Affero General Public License"),
+    *[(f"{spdx}-{v}.0", f"the {spdx}{how}") for spdx, vs in (("GPL", (2, 3)), ("LGPL", (3,)), ("AGPL", (3,))) for v in vs
+      for how in (f" v{v}", f"v{v}", f"-{v}.0", f" version {v}")],
+    ("MPL-2.0", "the Mozilla Public License 2.0"), ("MPL-2.0", "the Mozilla Public License, v. 2.0"), ("ISC", "the ISC License"),
+    ("EPL-2.0", "the Eclipse Public License 2.0"), ("Unlicense", "the Unlicense"), ("CC0-1.0", "CC0 1.0"),
+    ("CC0-1.0", "the CC0 1.0 Universal Public Domain Dedication"),
+    *[(f"CC-{short}-{v}", f"{form} {v}{tail}") for short, long in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+        ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+      for v, form, tail in (("4.0", f"CC {short}", ""), ("3.0", f"CC {short}", ""),
+                            ("4.0", f"a Creative Commons {long}", " International License"),
+                            ("3.0", f"a Creative Commons {long}", " Unported License"))],
+]
+LEADS = ["Licensed under", "Released under", "Distributed under", "This work is licensed under", "This project is licensed under",
+         "This software is released under"]
+
+_GNU = ("{what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by "
+        "the Free Software Foundation, {version}. {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name}General Public License for more details. "
+        "You should have received a copy of the GNU {name}General Public License along with {it}. If not, see https://www.gnu.org/licenses/.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
+        "met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. {third}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+        "CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+        "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {holder} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, "
+        "INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+        "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, "
+        "STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+        "POSSIBILITY OF SUCH DAMAGE.")
+_LATER = "either version {} of the License, or (at your option) any later version"
+#: Full notices.
+NOTICES = [
+    *[(f"{spdx}-{v}" + (".0" if "." not in v else "") + tail, _GNU.format(what=what, it=it, name=name, version=text.format(v)))
+      for spdx, name, vs in (("GPL", "", ("2", "3")), ("LGPL", "Lesser ", ("2.1", "3")), ("AGPL", "Affero ", ("3",))) for v in vs
+      for what, it in (("This program", "this program"),) for tail, text in (("-or-later", _LATER), ("", "version {} of the License"))],
+    ("BSD-2-Clause", _BSD.format(third="", holder="HOLDER")),
+    ("BSD-3-Clause", _BSD.format(third="3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                                 "promote products derived from this software without specific prior written permission. ", holder="HOLDER")),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+            "above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL "
+            "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+            "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+            "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+            "SOFTWARE."),
+    *[(f"CC-{short}-4.0", f"This work is licensed under the Creative Commons {long} 4.0 International License. To view a copy of this license, visit "
+                          f"http://creativecommons.org/licenses/{short.lower()}/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, "
+                          "CA 94042, USA.") for short, long in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+        ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))],
+]
+
 
 def _words(col: str) -> str:
     return f"split(trim(regexp_replace(translate({col}, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ')), ' ')"
@@ -75,6 +140,19 @@ def _normalised(text: str) -> list[str]:
     return re.sub(r"[^a-z0-9]+", " ", text.translate(ASCII_LOWER)).strip().split(" ")
 
 
+def _extended(base: list[tuple], more: list[tuple[str, str]]) -> list[tuple]:
+    """``base`` and the wordings of ``more`` that it does not hold, numbered on."""
+    seen, out = {" ".join(_normalised(body)) for _, _, body in base}, list(base)
+    for lic, body in more:
+        if (norm := " ".join(_normalised(body))) not in seen:
+            seen.add(norm)
+            out.append((len(out) + 1, lic, body))
+    return out
+
+
+TEMPLATES = _extended(TEMPLATES, [(lic, f"{lead} {name}.") for lic, name in NAMES for lead in LEADS] + NOTICES)
+
+
 def template_rows(templates, threshold: float) -> list[tuple]:
     """``(id, license, lo, hi, grams)``: the bigram set of each template and the unit sizes its bounds admit."""
     out = []
@@ -86,6 +164,17 @@ def template_rows(templates, threshold: float) -> list[tuple]:
     return out
 
 
+def _ranges(bounds: list[tuple[int, int]]) -> str:
+    """An SQL condition on ``{0}``: within some of the bounds, overlapping ones merged."""
+    out: list[list[int]] = []
+    for lo, hi in sorted(bounds):
+        if out and lo <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return "(" + " or ".join(f"{{0}} between {lo} and {hi}" for lo, hi in out) + ")"
+
+
 def _literal(rows: list[tuple]) -> str:
     """The templates as an SQL array of structs; their words hold only a-z, 0-9 and spaces."""
     return "array(" + ", ".join(
@@ -96,14 +185,19 @@ def _literal(rows: list[tuple]) -> str:
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """All units of a row stay in its own arrays, so nothing is shuffled; the templates are a constant of the plan."""
     rows = template_rows(templates, threshold)
-    windows = " or ".join(f"size(g) between {lo} and {hi}" for _, _, lo, hi, _ in rows)
+    windows = _ranges([(lo, hi) for _, _, lo, hi, _ in rows])
+    least = min(lo for _, _, lo, _, _ in rows)
+    known = ", ".join(repr(x) for x in sorted({x for r in rows for x in r[4]}))
     d = docs.select("doc_id", text_of().alias("t")).select(
         "doc_id", F.expr(r"if(instr(t, '\n') > 0, concat(split(t, '\n'), array(t)), array(t))").alias("u"))
     d = d.select("doc_id", F.expr(f"filter(transform(u, x -> {_words('x')}), w -> size(w) >= 2)").alias("w"))
-    d = d.select("doc_id", F.expr(f"filter(transform(w, v -> {_bigrams('v')}), g -> {windows})").alias("g"))
-    d = d.select("doc_id", F.size("g").alias("n_units"), F.expr(
-        f"flatten(transform(g, a -> filter(transform(filter({_literal(rows)}, t -> size(a) between t.lo and t.hi), "
-        "t -> named_struct('dice', 2D * size(array_intersect(a, t.grams)) / (size(a) + size(t.grams)), 'id', -t.id, 'license', t.license)), "
+    # a match holds at least lo bigrams of its template, so only bigrams of some template are compared
+    d = d.select("doc_id", F.expr(f"transform(transform(w, v -> {_bigrams('v')}), g -> named_struct('n', size(g), 'h', "
+                                  f"if({windows.format('size(g)')}, filter(g, x -> x in ({known})), array())))").alias("g"))
+    d = d.select("doc_id", F.expr(f"size(filter(g, a -> {windows.format('a.n')}))").alias("n_units"), F.expr(
+        f"flatten(transform(filter(g, a -> size(a.h) >= {least}), a -> filter(transform("
+        f"filter({_literal(rows)}, t -> a.n between t.lo and t.hi and size(a.h) >= t.lo), "
+        "t -> named_struct('dice', 2D * size(array_intersect(a.h, t.grams)) / (a.n + size(t.grams)), 'id', -t.id, 'license', t.license)), "
         f"s -> s.dice >= {threshold}D)))").alias("m"))
     best = F.array_max("m")
     return d.select("doc_id", F.col("n_units").cast("long").alias("n_units"), F.size("m").cast("long").alias("n_matches"),

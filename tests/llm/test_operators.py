@@ -177,6 +177,18 @@ def test_ngram_join_odd(odd):
     assert (1, 0, 1) in got and (6, 6, 5) in got and (None, 1, None) in got and (4, 1, 4) in got
 
 
+def test_license_scan_finds_the_usual_wordings(spark):
+    lines = [("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."), ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+             ("CC-BY-ND-4.0", "This work is licensed under CC BY-ND 4.0."), ("CC-BY-SA-4.0", "Released under CC BY-SA 4.0."),
+             ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."), ("LGPL-2.1", "Distributed under the GNU Lesser General Public License, version 2.1."),
+             ("AGPL-3.0", "Licensed under the GNU Affero General Public License v3.0."), ("MIT", "Released under the MIT License."),
+             ("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("Proprietary", "All rights reserved."),
+             *license_scan.NOTICES]
+    rows = [(i, f"some words before it\n{t}\nand some after it") for i, (_, t) in enumerate(lines)]
+    got = {r.doc_id: (r.license, r.dice) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: (lic, 1.0) for i, (lic, _) in enumerate(lines)}
+
+
 def test_toxicity_matches_misspelt_terms_and_tells_quotation():
     m = toxicity.Matcher(["worthless", "idiot"], ["lowei"])
     assert [m.match(w) for w in ("worthless", "wortles", "idiott", "idot", "loweisch", "harmless", "id")] == [3, 1, 1, 1, 2, 0, 0]
