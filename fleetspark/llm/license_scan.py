@@ -7,8 +7,16 @@ and a template match when ``2 * |A n B| / (|A| + |B|) >= t`` over their sets of
 word bigrams.  That needs ``|B| * t / (2 - t) <= |A| <= |B| * (2 - t) / t``, so a
 unit meets only the templates whose size bounds admit it.
 
-Result: a row per document with ``doc_id, n_units`` (units within the bounds of
-some template), ``n_matches`` (unit and template pairs that match), ``license``
+A notice wrapped over lines or inside a longer line is found as a run of words:
+where neither the whole text matches anything nor a line matches the template,
+its best run counts as one more match.  A run begins and ends with a bigram of
+the template (others at the ends only lower the coefficient), is not part of a
+line that matches, and holds as many bigrams as the upper bound admits at most
+(repeats inside the template on top).  The DuckDB text scores lines and whole texts only.
+
+Result: a row per document with ``doc_id, n_units`` (lines and whole texts within
+the bounds of some template), ``n_matches`` (unit and template pairs that match,
+and templates that only a run matches), ``license``
 (of the best match; ties to the smaller template id) and ``dice`` (its
 coefficient rounded to 6 places).  Null or empty texts and texts without a
 match give ``n_matches`` 0, ``license`` null and ``dice`` 0.  Rows that share a
@@ -154,13 +162,14 @@ TEMPLATES = _extended(TEMPLATES, [(lic, f"{lead} {name}.") for lic, name in NAME
 
 
 def template_rows(templates, threshold: float) -> list[tuple]:
-    """``(id, license, lo, hi, grams)``: the bigram set of each template and the unit sizes its bounds admit."""
+    """``(id, license, lo, hi, longest, grams)``: the bigram set of each template, the unit sizes its bounds admit and the bigrams of its longest run."""
     out = []
     for tid, lic, body in templates:
         w = _normalised(body)
         g = sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
         m, t = len(g), Fraction(str(threshold))
-        out.append((tid, lic, math.ceil(m * t / (2 - t)), math.floor(m * (2 - t) / t), g))
+        hi = math.floor(m * (2 - t) / t)
+        out.append((tid, lic, math.ceil(m * t / (2 - t)), hi, hi + len(w) - 1 - m, g))
     return out
 
 
@@ -178,27 +187,58 @@ def _ranges(bounds: list[tuple[int, int]]) -> str:
 def _literal(rows: list[tuple]) -> str:
     """The templates as an SQL array of structs; their words hold only a-z, 0-9 and spaces."""
     return "array(" + ", ".join(
-        f"named_struct('id', {i}, 'license', '{lic}', 'lo', {lo}, 'hi', {hi}, 'grams', array({', '.join(repr(x) for x in g)}))"
-        for i, lic, lo, hi, g in rows) + ")"
+        f"named_struct('id', {i}, 'license', '{lic}', 'lo', {lo}, 'hi', {hi}, 'longest', {longest}, 'grams', array({', '.join(repr(x) for x in g)}))"
+        for i, lic, lo, hi, longest, g in rows) + ")"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``, which is evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _runs(threshold: float) -> str:
+    """The matches of the candidate templates ``c`` by their best run of the words ``v``, without runs inside a line that is in ``skip``.
+
+    ``prev`` has the last place of the same bigram, so a bigram counts for a run that starts at ``i`` if ``prev < i``."""
+    step = ("named_struct('a', s.a + if(prev[k] < i, 1, 0), 'n', s.n + if(prev[k] < i and hit[k], 1, 0), 'best', "
+            "if(hit[k] and not (ln[i] = ln[k + 1] and array_contains(skip, ln[i])), "
+            "greatest(s.best, 2D * (s.n + if(prev[k] < i, 1, 0)) / (s.a + if(prev[k] < i, 1, 0) + size(t.grams))), s.best))")
+    run = f"aggregate(sequence(i, least(i + t.longest, size(b)) - 1), named_struct('a', 0, 'n', 0, 'best', 0D), (s, k) -> {step}, s -> s.best)"
+    # a run that matches holds at least lo hits
+    starts = "filter(at, (i, q) -> q + t.lo <= size(at) and coalesce(get(at, q + t.lo - 1) < i + t.longest, false))"
+    best = _let("hit", "transform(b, x -> array_contains(t.grams, x))", _let(
+        "at", "filter(sequence(0, size(b) - 1), k -> hit[k])", f"coalesce(array_max(transform({starts}, i -> {run})), 0D)"))
+    found = f"filter(transform(c, t -> named_struct('dice', {best}, 'id', -t.id, 'license', t.license, 'line', -2)), s -> s.dice >= {threshold}D)"
+    prev = _let("o", "array_sort(transform(b, (x, k) -> named_struct('x', x, 'k', k)))",
+                "transform(array_sort(transform(o, (e, q) -> named_struct('k', e.k, 'p', if(get(o, q - 1).x = e.x, get(o, q - 1).k, -1)))), e -> coalesce(e.p, -1))")
+    return _let("b", "transform(sequence(0, size(v) - 2), k -> concat(v[k], ' ', v[k + 1]))", _let("prev", prev, _let(
+        "ln", "flatten(transform(l, (x, k) -> array_repeat(k, size(x))))", _let("skip", "transform(m, s -> s.line)", found))))
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """All units of a row stay in its own arrays, so nothing is shuffled; the templates are a constant of the plan."""
     rows = template_rows(templates, threshold)
-    windows = _ranges([(lo, hi) for _, _, lo, hi, _ in rows])
-    least = min(lo for _, _, lo, _, _ in rows)
-    known = ", ".join(repr(x) for x in sorted({x for r in rows for x in r[4]}))
-    d = docs.select("doc_id", text_of().alias("t")).select(
-        "doc_id", F.expr(r"if(instr(t, '\n') > 0, concat(split(t, '\n'), array(t)), array(t))").alias("u"))
-    d = d.select("doc_id", F.expr(f"filter(transform(u, x -> {_words('x')}), w -> size(w) >= 2)").alias("w"))
+    windows = _ranges([(lo, hi) for _, _, lo, hi, *_ in rows])
+    least = min(lo for _, _, lo, *_ in rows)
+    known = ", ".join(repr(x) for x in sorted({x for r in rows for x in r[-1]}))
+    d = docs.select("doc_id", text_of().alias("t"))
+    d = d.select("doc_id", F.expr(rf"transform(split(t, '\n'), x -> array_remove({_words('x')}, ''))").alias("l"))
+    d = d.select("doc_id", "l", F.flatten("l").alias("v"))
     # a match holds at least lo bigrams of its template, so only bigrams of some template are compared
-    d = d.select("doc_id", F.expr(f"transform(transform(w, v -> {_bigrams('v')}), g -> named_struct('n', size(g), 'h', "
-                                  f"if({windows.format('size(g)')}, filter(g, x -> x in ({known})), array())))").alias("g"))
-    d = d.select("doc_id", F.expr(f"size(filter(g, a -> {windows.format('a.n')}))").alias("n_units"), F.expr(
+    units = "concat(if(size(l) > 1, transform(l, (x, k) -> named_struct('k', k, 'w', x)), array()), array(named_struct('k', -1, 'w', v)))"
+    d = d.select("doc_id", "l", "v", F.expr(
+        f"transform(transform(filter({units}, x -> size(x.w) >= 2), x -> named_struct('k', x.k, 'g', {_bigrams('x.w')})), "
+        f"x -> named_struct('k', x.k, 'n', size(x.g), 'h', filter(x.g, y -> y in ({known}))))").alias("g"))
+    d = d.select("doc_id", "l", "v", "g", F.expr(
         f"flatten(transform(filter(g, a -> size(a.h) >= {least}), a -> filter(transform("
         f"filter({_literal(rows)}, t -> a.n between t.lo and t.hi and size(a.h) >= t.lo), "
-        "t -> named_struct('dice', 2D * size(array_intersect(a.h, t.grams)) / (a.n + size(t.grams)), 'id', -t.id, 'license', t.license)), "
+        "t -> named_struct('dice', 2D * size(array_intersect(a.h, t.grams)) / (a.n + size(t.grams)), 'id', -t.id, 'license', t.license, 'line', a.k)), "
         f"s -> s.dice >= {threshold}D)))").alias("m"))
+    d = d.select("doc_id", "l", "v", "g", "m", F.expr(
+        f"get(transform(filter(g, a -> a.k = -1 and size(a.h) >= {least} and not exists(m, s -> s.line = -1)), a -> "
+        f"filter({_literal(rows)}, t -> size(a.h) >= t.lo and not exists(m, s -> s.id = -t.id) and size(array_intersect(a.h, t.grams)) >= t.lo)), 0)").alias("c"))
+    d = d.select("doc_id", F.expr(f"size(filter(g, a -> {windows.format('a.n')}))").alias("n_units"),
+                 F.expr(f"if(size(c) > 0, concat(m, {_runs(threshold)}), m)").alias("m"))
     best = F.array_max("m")
     return d.select("doc_id", F.col("n_units").cast("long").alias("n_units"), F.size("m").cast("long").alias("n_matches"),
                     best["license"].alias("license"), F.coalesce(F.round(best["dice"], 6), F.lit(0.0)).alias("dice"))

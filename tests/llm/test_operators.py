@@ -4,6 +4,7 @@ labels, and the edge cases of the docstrings (nulls, empty tables, repeated rows
 import hashlib
 import html as entities
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -189,6 +190,49 @@ def test_license_scan_finds_the_usual_wordings(spark):
     assert got == {i: (lic, 1.0) for i, (lic, _) in enumerate(lines)}
 
 
+def test_license_scan_finds_embedded_and_wrapped_notices(spark, docs):
+    texts = {tid: body for tid, _, body in license_scan.TEMPLATES}
+    prose = " ".join(r.text for r in docs.where("length(text) between 500 and 2000").orderBy("doc_id").limit(3).collect()).replace("\n", " ")
+    header = lambda t: "\n".join(f" * {x}" for x in textwrap.wrap(texts[t], 80))
+    rows = [(t, f"{prose}\n/*\n{header(t)}\n */\n{prose}") for t in (12, 13, 14, 15)] + [
+        (4, f"{prose} {texts[4]} {prose}"), (10, f"One line of words before it. {texts[10]} And one line of words, to be longer."),
+        (1, f"{prose}\n{texts[1]}\n{prose}"), (100, " ".join(f"{x} {prose}" for x in texts[14].split())), (101, prose)]
+    got = {r.doc_id: (r.license, r.dice) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    lic = {tid: x for tid, x, _ in license_scan.TEMPLATES}
+    assert got == {t: (lic[t], 1.0) if t < 100 else (None, 0.0) for t, _ in rows}
+
+
+def test_license_runs_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    templates = [(1, "A", "a b c a b d e f"), (2, "B", "c d e"), (3, "C", "b a b a c f e d b")]
+    rows = [(i, " ".join(rng.choice(list("abcdefgh"), int(rng.integers(4, 60))))) for i in range(120)]
+    rows += [(i + 500, f"x x {t[:9]} h {t[9:]} x x".replace(" ", "\n", 4)) for i, (_, _, t) in enumerate(templates)]
+
+    def grams(w):
+        return {*zip(w, w[1:])}
+
+    def dice(a, b):
+        return 2 * len(a & b) / (len(a) + len(b))
+
+    want = {}
+    bounds = {tid: longest for tid, _, _, _, longest, _ in license_scan.template_rows(templates, 0.8)}
+    for i, t in rows:
+        lines, w, hits = [x.split() for x in t.split("\n")], t.split(), []
+        place = [k for k, x in enumerate(lines) for _ in x]
+        units = [x for x in ([*lines, w] if len(lines) > 1 else [w]) if len(x) > 1]
+        match = [(round(dice(grams(u), grams(b.split())), 6), -tid) for u in units for tid, _, b in templates if dice(grams(u), grams(b.split())) >= 0.8]
+        assert all(len(set(place)) == 1 or len(x) == 1 or not any(dice(grams(x), grams(b.split())) >= 0.8 for _, _, b in templates) for x in lines)
+        if not any(dice(grams(w), grams(b.split())) >= 0.8 for _, _, b in templates):
+            for tid, _, b in templates:
+                runs = [dice(grams(w[p:p + n + 1]), grams(b.split())) for p in range(len(w)) for n in range(1, bounds[tid] + 1) if p + n < len(w)]
+                if max(runs, default=0) >= 0.8:
+                    hits.append((round(max(runs), 6), -tid))
+        best = max(match + hits, default=(0.0, None))
+        want[i] = (len(match) + len(hits), best[0], best[1] and "ABC"[-best[1] - 1])
+    got = {r.doc_id: (r.n_matches, r.dice, r.license) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), templates).collect()}
+    assert got == want and sum(x[0] > 0 for x in want.values()) > 5
+
+
 def test_toxicity_matches_misspelt_terms_and_tells_quotation():
     m = toxicity.Matcher(["worthless", "idiot"], ["lowei"])
     assert [m.match(w) for w in ("worthless", "wortles", "idiott", "idot", "loweisch", "harmless", "id")] == [3, 1, 1, 1, 2, 0, 0]
