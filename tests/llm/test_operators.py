@@ -173,6 +173,29 @@ def test_ngram_join_against_brute_force(docs, k, num, split):
     assert got == brute_join(rows, k, num, 100)
 
 
+def brute_links(rows, k, num, den):
+    """Per row the other documents whose set links with its own."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append(frozenset(zip(*[w[j:] for j in range(k)])) if len(w) >= k else frozenset([tuple(w)] if w else []))
+    texts = {(i, s) for (i, _), s in zip(rows, sets) if i is not None and s}
+    return [(i, 0 if i is None or not s else sum((j, u) != (i, s) and den * len(s & u) >= num * len(s | u) for j, u in texts))
+            for (i, _), s in zip(rows, sets)]
+
+
+@pytest.mark.parametrize("chunk", [1000, 7])
+def test_ngram_join_counts_every_link(spark, docs, odd, chunk):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(300)]
+    near = [[f"e{rng.integers(9)}" if rng.random() < 0.012 else w for w in words] for _ in range(60)]
+    rows = [(r.doc_id, r.text) for r in docs.union(odd.select(docs.columns)).collect()] + [(10_000 + i, " ".join(w)) for i, w in enumerate(near)]
+    rows += [(20_000, rows[-1][1]), (20_000, rows[-1][1]), (20_001, rows[-1][1]), (20_001, rows[-2][1])]
+    got = ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100, split=20, chunk=chunk).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=key) == sorted(brute_links(rows, 3, 90, 100), key=key)
+
+
 def test_ngram_join_odd(odd):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.classes(odd).collect()}
     assert (1, 0, 1) in got and (6, 6, 5) in got and (None, 1, None) in got and (4, 1, 4) in got
