@@ -1,7 +1,9 @@
 """HTML extraction by consensus host paths.
 
 Pass 1 scores the containers of each page: text in paragraphs and headings,
-less what is inside links, is credited to the container that holds the blocks.  The best
+less what is inside links, is credited to the container that holds the blocks.  From the
+best one the choice climbs to the containers around it while these add only text that is not
+mostly links, so headlines and introductions beside the body belong to it.  The chosen
 container's generalised path (tag and class names from the root, digits turned
 into N) is a vote of the page, weighted by its share of the page's text.  Spark
 adds up the votes per host and path; the host's path is the one with the most
@@ -11,8 +13,10 @@ Pass 2 extracts every page again: the text of all containers on the host's
 path, in page order; a page without that path uses its own best container.
 
 Left out, wherever they are: nav, header, footer, aside, form, script, style,
-noscript, template, svg, iframe, buttons and comments, elements whose role, class or
-id names menus, notices, adverts or reader comments, and hidden elements.
+noscript, template, svg, iframe, buttons and comments, what browsers show only in place of canvas,
+object, audio and video, annotations of formulas, elements whose role, class or
+id names menus, notices, adverts or reader comments, and hidden elements.  Class names
+that tell of a layout (``no-sidebar``, ``has-sidebar``, ``layout-with-sidebar``) name nothing.
 Character references are decoded; white space inside a block becomes one space,
 blocks are trimmed and joined by a line feed; empty blocks do not count.  ``br``
 is white space.
@@ -38,7 +42,7 @@ from .common import map_arrow, small, table
 #: Element names of the HTML standard by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-DROP = frozenset("nav header footer aside form script style noscript template svg math iframe object canvas audio video button select "
+DROP = frozenset("nav header footer aside form script style noscript template svg iframe object canvas audio video button select "
                  "option textarea dialog menu head title noembed noframes xmp input label fieldset".split())
 BLOCK = frozenset("address article blockquote body center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre "
                   "section summary table tbody td tfoot th thead tr ul caption hgroup search".split()) | DROP
@@ -51,6 +55,10 @@ BOILERPLATE = re.compile(
     r"advertisement|sponsor(?:ed)?|promo|cookies?|consent|gdpr|notice|notices|popup|modal|newsletter|subscribe|social|share|sharing|related|"
     r"recommended|comments?|commentlist|respond|replies|disqus|widget|pagination|pager|toolbar|login|signup|search|contentinfo|"
     r"complementary|skip)(?:$|[\s_-]|\d)", re.I)
+#: Parts of a class name that make it tell of a layout or a state.
+LAYOUT = re.compile(r"(?:^|[_-])(?:(?:no|not|non|has|have|with|without|hide)(?=[_-])|layout(?:$|[_-]))", re.I)
+#: Inline elements without text of the page.
+UNSHOWN = frozenset(("annotation", "annotation-xml"))
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*(?:>|$)|<\?[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)|"
                    r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
@@ -76,7 +84,7 @@ def _attributes(raw: str) -> dict[str, str]:
 def _is_boilerplate(a: dict[str, str]) -> bool:
     if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", ""):
         return True
-    return any(k in a and BOILERPLATE.search(a[k]) for k in ("class", "id", "role"))
+    return any(k in a and any(BOILERPLATE.search(x) and not LAYOUT.search(x) for x in a[k].split()) for k in ("class", "id", "role"))
 
 
 def blocks(page: str) -> tuple[list[tuple[tuple[Node, ...], str, int]], list[Node]]:
@@ -159,7 +167,7 @@ def blocks(page: str) -> tuple[list[tuple[tuple[Node, ...], str, int]], list[Nod
             continue
         up = stack[-1]
         a = _attributes(raw) if raw.strip(" /\n\t\r") else {}
-        dropped = up.dropped or tag in DROP or tag not in ("html", "body", "article", "main") and bool(a) and _is_boilerplate(a)
+        dropped = up.dropped or tag in DROP or tag in UNSHOWN or tag not in ("html", "body", "article", "main") and bool(a) and _is_boilerplate(a)
         if tag in RAW:
             e = re.compile(rf"</{tag}(?=[\s/>]|$)", re.I).search(page, at)
             at = e.start() if e else n
@@ -183,6 +191,25 @@ def blocks(page: str) -> tuple[list[tuple[tuple[Node, ...], str, int]], list[Nod
     return out, containers
 
 
+def _climbed(best: Node, found: list[tuple[tuple[Node, ...], str, int]]) -> Node:
+    """The outermost container around ``best`` that adds text and no block that is mostly links; an article or main may hold
+    some, as long as less than half of what it adds is inside links.  Around an article or main only such ones count."""
+    around = next(ns[:ns.index(best)] for ns, _, _ in found if best in ns)
+    closed, inside = False, best.tag in ("article", "main")
+    for x in reversed(around):
+        if x.tag not in CONTAINERS or inside and x.tag not in ("article", "main"):
+            continue
+        more = [(len(t), links) for ns, t, links in found if x in ns and best not in ns]
+        closed = closed or any(2 * links >= n for n, links in more)
+        named = x.tag in ("article", "main")
+        inside = inside or named
+        if closed and not (named and 2 * sum(links for _, links in more) < sum(n for n, _ in more)):
+            continue
+        if sum(n for n, _ in more) > 0:
+            best = x
+    return best
+
+
 def best_container(found: list[tuple[tuple[Node, ...], str, int]], containers: list[Node]) -> tuple[Node | None, float]:
     """The container with the most credit and its share of the page's credit."""
     total = 0
@@ -200,6 +227,8 @@ def best_container(found: list[tuple[tuple[Node, ...], str, int]], containers: l
     best = max(containers[1:], key=lambda x: x.score, default=None)
     if best is None or not best.score:
         best = containers[0] if found else None
+    else:
+        best = _climbed(best, found)
     return best, (1.0 if best is None or not total else min(1.0, sum(len(t) for ns, t, _ in found if best in ns) / max(1, sum(len(t) for _, t, _ in found))))
 
 

@@ -115,6 +115,25 @@ def test_html(spark):
     assert {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()} == want
 
 
+@pytest.mark.parametrize("page", [
+    "<main><h1>T</h1><div class=content><p>{b}</p></div></main>",
+    "<article><div class=intro><p>T</p></div><div class=body><p>{b}</p></div></article>",
+    "<div class='layout no-sidebar'><article><p>T<p>{b}</article></div><div>(c) Example Ltd.</div>",
+    "<div class=has-sidebar><div class=post><h1>T</h1><div class=text><p>{b}</div></div></div>",
+    "<div class=layout-with-sidebar><div class=post><h1>T</h1><div class=text><p>{b}</div></div><div><p><a href=x>elsewhere</a></div></div>",
+    "<main><h1>T</h1><div class=content><p>{b}</p></div><div class=site-footer>gone</div><div class='post comments'>gone</div></main>"])
+def test_html_nested_layouts(spark, page):
+    body = "word " * 200 + "end"
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", f"<html><body><nav>Home</nav>{page.format(b=body)}<footer>x</footer></body></html>")
+                                for i in range(2)], "page_id long, url string, html string")
+    assert [r.text for r in html_extract.extract_pages(df).collect()] == [f"T\n{body}"] * 2
+
+
+def test_html_formulas_stay():
+    page = "<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds</article>"
+    assert html_extract.extract(page, None)[0] == "so x=1 holds"
+
+
 def brute_dedup(rows, size):
     seen, out = set(), {}
     for i, t in rows:
