@@ -215,6 +215,12 @@ def test_ngram_join_counts_every_link(spark, docs, odd, chunk):
     assert sorted(((r.doc_id, r.n_links) for r in got), key=key) == sorted(brute_links(rows, 3, 90, 100), key=key)
 
 
+def test_heavy_tokens_are_frequent_among_all_documents(spark):
+    # every batch has frequent shingles of its own (five times each, 0.00125 of all documents); one is in all documents
+    few = spark.createDataFrame([(i, f"a b c p{i // 5} q r w{i}") for i in range(4000)], "doc_id long, text string").repartitionByRange(40, "doc_id")
+    assert ngram_join.heavy_tokens(few, 3).count() == 1
+
+
 def test_ngram_join_odd(odd):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.classes(odd).collect()}
     assert (1, 0, 1) in got and (6, 6, 5) in got and (None, 1, None) in got and (4, 1, 4) in got
