@@ -94,7 +94,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table made by ``stored`` that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 #: A join side of at most so many narrow rows is broadcast (about 10 MB); a larger one is shuffled.
