@@ -29,7 +29,8 @@ def byte_classes(space: bytes, piece_end: bytes = b"") -> np.ndarray:
 class FlatWords:
     """Words of some texts in order: ``codes`` into ``words`` (a string array of the
     distinct ones), ``doc`` (index of the text) and ``piece`` (never falls, differs
-    between texts and across ends of pieces)."""
+    between texts and across ends of pieces).  ``lengths`` are the words' bytes, ``raw``
+    the bytes of all texts."""
 
     def __init__(self, texts: pa.Array, classes: np.ndarray, lower: bool = True):
         if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type):
@@ -50,6 +51,7 @@ class FlatWords:
         end[cut - 1] = word[cut - 1]
         at = np.flatnonzero(begin)
         length = np.flatnonzero(end) + 1 - at
+        self.raw, self.lengths = raw, length
         body = raw[word]
         if lower:
             body = _LOWER[body]
