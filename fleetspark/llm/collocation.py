@@ -40,16 +40,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ranking import global_row_number
-from .common import discard, stored, stream_arrow, table, text_of
+from .common import discard, enter, give_back, stored, stream_arrow, table, text_of
 from .flat import FlatWords, byte_classes, cuts, pack, text_bytes, unpack
 
 MIN_COUNT = 10
 MAX_WORDS = 3
 TOP = 2000
 KEEP_PERCENT = 50
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Texts of several languages wait for their blocks within so many bytes.
-WAITING_BYTES = 48 << 20
+WAITING_BYTES = 24 << 20
 #: Parts of a language for the first round of ranking.
 RANK_PARTS = 256
 CLASSES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
@@ -114,6 +114,7 @@ def filtered(blocks: DataFrame, marks: DataFrame) -> DataFrame:
     key, id``, a row for each frequent group that a block holds; ``key`` is the index of the
     word at level 1, else the packed key of ``extend``."""
     def take(key: tuple, rel: pa.Table, got: pa.Table) -> pa.Table:
+        enter(__name__)
         if not rel.num_rows or not got.num_rows:
             return RELATION.empty_table()
         k, items = rel.column("k")[0].as_py(), unpack(rel.column("items")[0].as_py(), np.int32)
@@ -129,6 +130,8 @@ def filtered(blocks: DataFrame, marks: DataFrame) -> DataFrame:
         new = np.full(len(items), -1, np.int32)
         hit = keys[pos] == found
         new[at[hit]] = ids[pos[hit]]
+        del at, found, pos, hit
+        give_back()
         return pa.table([rel.column("block"), pa.array([k + 1], pa.int32()), pa.array([pack(new)]), pa.array([pack(words if k else new)]),
                          rel.column("joined")], schema=RELATION)
 

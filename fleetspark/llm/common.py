@@ -3,6 +3,8 @@ storage, distributed prefix sums and connected components."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import tempfile
 import uuid
@@ -64,21 +66,53 @@ def ship(spark: SparkSession) -> None:
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], list[tuple] | list], schema: str) -> DataFrame:
     """Apply ``fn`` to each Arrow batch.  It gives the columns of ``schema`` in order as a
     list of arrays, or the rows as a list of tuples."""
-    return stream_arrow(df, lambda batches: (fn(b) for b in batches if b.num_rows), schema)
+    return stream_arrow(df, lambda batches: (fn(b) for b in batches if b.num_rows), schema, fn.__module__)
 
 
-def stream_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[list]], schema: str) -> DataFrame:
+#: Tables that modules keep in a worker process between tasks, by module.
+WORKER_TABLES: dict[str, dict] = {}
+_AT_WORK: list[str] = []
+
+
+def worker_table(module: str) -> dict:
+    """A table that lasts as long as the worker runs streams of ``module``."""
+    return WORKER_TABLES.setdefault(module, {})
+
+
+def give_back() -> None:
+    """Return the freed memory of a worker to the system: workers outlive their tasks, and
+    what one keeps counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def enter(module: str) -> None:
+    """A worker turns to streams of ``module``: the tables of others go."""
+    if _AT_WORK != [module]:
+        _AT_WORK[:] = [module]
+        for name, t in WORKER_TABLES.items():
+            if name != module:
+                t.clear()
+        give_back()
+
+
+def stream_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[list]], schema: str, module: str | None = None) -> DataFrame:
     """As ``map_arrow``, over the stream of a partition's batches."""
+    module = module or fn.__module__
     target = to_arrow_schema(T._parse_datatype_string(schema))
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(module)
         for out in fn(batches):
             if not len(out):
                 continue
             cols = list(zip(*out)) if isinstance(out[0], tuple) else out
             made = [x.cast(f.type) if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, f.type) for x, f in zip(cols, target, strict=True)]
             yield from pa.table(made, schema=target).to_batches()
+            del out, cols, made
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS, map_arrow, table
+from .common import WORDS, map_arrow, table, worker_table
 
 DIMS = 2048
 MAX_ROWS = 6_000
@@ -38,7 +38,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 
-_BINS: dict[str, int] = {}
+_BINS: dict[str, int] = worker_table(__name__)
 
 
 def _bins(words: list[str]) -> np.ndarray:

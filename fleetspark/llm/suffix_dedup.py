@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, mix64, stored, stream_arrow, table, text_of
+from .common import map_arrow, mix64, stored, stream_arrow, table, text_of, worker_table
 
 LENGTH = 100
 GRAM = 40
@@ -53,7 +53,7 @@ _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_POWERS: dict[str, np.ndarray] = {}
+_POWERS: dict[str, np.ndarray] = worker_table(__name__)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:

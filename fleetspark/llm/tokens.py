@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-from .common import WORDS
+from .common import WORDS, worker_table
 
 END_ID = 1
 #: letters with composed forms only, then punctuation without an apostrophe: two pre-tokens that the pattern keeps apart
@@ -79,7 +79,7 @@ class ChunkEncoder:
         return out
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[str, ChunkEncoder] = worker_table(__name__)
 
 
 def encoder(path: str) -> ChunkEncoder:

@@ -44,13 +44,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, table
+from .common import map_arrow, table, worker_table
 
 MAX_ROWS = 20_000
 MAX_TERMS = 5_000
 MIN_PRECISION = 0.85
 MIN_G2 = 18.0
 WINDOW = 6
+#: A worker starts its automaton anew beyond so many states.
+MAX_STATES = 20_000
 STEM = (3, 8)
 FEATURES = ["exact_direct", "exact_quoted", "fuzzy_direct", "fuzzy_quoted", "stem_direct", "stem_quoted", "density", "near", "any_direct"]
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -75,12 +77,16 @@ class Matcher:
             self.word_edits[n] = k
         for s in stems:
             self.is_stem.add(self._add(s, 0))
+        self._forget()
+        self.cache: dict[str, int] = {}
+
+    def _forget(self) -> None:
+        """Start the determinised product anew."""
         self.states: dict[frozenset, int] = {}
         self.moves: list[dict[str, int]] = []
         self.accept: list[int] = []
         self.sets: list[dict[tuple[int, int], int]] = []
         self.start = self._state(self._closure({(0, 0): 0}))
-        self.cache: dict[str, int] = {}
 
     def _add(self, w: str, k: int) -> int:
         n = 0
@@ -148,6 +154,8 @@ class Matcher:
                 if n in self.is_stem:
                     got = 2
                     break
+            if len(self.moves) > MAX_STATES:
+                self._forget()
             at = self.start
             for c in w:
                 at2 = self.moves[at].get(c)
@@ -278,7 +286,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(feats @ self.w + self.b, -30, 30)))
 
 
-_MATCHERS: dict[tuple, Matcher] = {}
+_MATCHERS: dict[tuple, Matcher] = worker_table(__name__)
 
 
 def matcher(words: list[str], stems: list[str]) -> Matcher:
