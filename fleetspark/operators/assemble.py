@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import div_or_null, fill0, r4
+from ..functions.order_stats import medians
 from ..params import TARGET
 
 KEY = ["dumper_id", "date_dpr", "shift"]
@@ -125,25 +126,22 @@ AGREEMENT_PAIRS = [("prod_hrs", "prod_hr_dpr"), ("idle_hrs", "idle_hr_dpr"), ("m
 def agreement_report(shift_dpr: DataFrame) -> DataFrame:
     """Calculated vs reported values, one row per available pair, over
     rows where both are non-null and either is positive: n, Pearson
-    correlation, MAE, median bias, share within 10 % / 20 %."""
-    parts = []
-    for calc, ref in AGREEMENT_PAIRS:
-        if calc not in shift_dpr.columns or ref not in shift_dpr.columns:
-            continue
-        c, r = F.col(calc), F.col(ref)
-        v = shift_dpr.where(c.isNotNull() & r.isNotNull() & ((r > 0) | (c > 0)))
-        d = c - r
-        pe = F.abs(F.try_divide(d, F.nullif(r, F.lit(0.0)))) * 100
-        parts.append(v.agg(
-            F.lit(calc).alias("calc"), F.lit(ref).alias("ref"), F.count(F.lit(1)).alias("n"),
-            r4(F.corr(c, r)).alias("corr"), r4(F.avg(F.abs(d))).alias("mae"), r4(F.median(d)).alias("bias"),
-            r4(F.avg(F.coalesce(pe <= 10, F.lit(False)).cast("double")) * 100).alias("within_10_pct"),
-            r4(F.avg(F.coalesce(pe <= 20, F.lit(False)).cast("double")) * 100).alias("within_20_pct"),
-        ))
-    if not parts:
+    correlation, MAE, median bias, share within 10 % / 20 %.  All pairs are
+    read in one pass; the medians are picked by a distributed rank search."""
+    pairs = [(c, r) for c, r in AGREEMENT_PAIRS if c in shift_dpr.columns and r in shift_dpr.columns]
+    if not pairs:
         return shift_dpr.sparkSession.createDataFrame(
             [], "calc string, ref string, n bigint, corr double, mae double, bias double, within_10_pct double, within_20_pct double")
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("calc"), F.lit(r).alias("ref"), F.col(c).cast("double").alias("c"),
+                                        F.col(r).cast("double").alias("r")) for c, r in pairs]))
+    c, r = F.col("c"), F.col("r")
+    v = shift_dpr.select(each.alias("_p")).select("_p.*").where(c.isNotNull() & r.isNotNull() & ((r > 0) | (c > 0)))
+    v = v.withColumn("d", c - r)
+    pe = F.abs(F.try_divide(F.col("d"), F.nullif(r, F.lit(0.0)))) * 100
+    within = lambda most: r4(F.avg(F.coalesce(pe <= most, F.lit(False)).cast("double")) * 100)
+    out = v.groupBy("calc", "ref").agg(F.count(F.lit(1)).alias("n"), r4(F.corr(c, r)).alias("corr"), r4(F.avg(F.abs("d"))).alias("mae"),
+                                       within(10).alias("within_10_pct"), within(20).alias("within_20_pct"))
+    bias = medians(v, ["calc", "ref"], "d").select("calc", "ref", r4("median").alias("bias"))
+    every = shift_dpr.sparkSession.createDataFrame(pairs, "calc string, ref string")
+    out = every.join(out, ["calc", "ref"], "left").join(bias, ["calc", "ref"], "left").fillna(0, "n")
+    return out.select("calc", "ref", "n", "corr", "mae", "bias", "within_10_pct", "within_20_pct")

@@ -1,20 +1,27 @@
 """Model preparation and cross-validated regression.
 
-The reference selects features with a LightGBM scout and regresses with a
-remote TabPFN service; both are re-aimed onto Spark ML (random forests).  Statistics (medians, means, standard deviations, category codes) are
+Features are selected by Spark ML gradient-boosted trees, and the regressor is
+a Spark ML random forest.  Statistics (medians, means, standard deviations, category codes) are
 computed by Spark aggregates; only their one-row results reach the driver.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import round_np
+from ..functions.order_stats import dense_codes, medians
+from ..functions.ranking import global_row_number
 from ..params import CAT_FEATURES, TARGET, Params
 
 KEY = ["dumper_id", "date_dpr", "shift"]
@@ -40,9 +47,12 @@ def feature_columns(train: DataFrame, test: DataFrame, exclude_ids: bool = False
 
 
 def median_stats(train: DataFrame, nums: list[str]) -> DataFrame:
-    """M1: exact train median of every numeric feature, as (feature, median)."""
-    row = train.agg(*[F.median(c).alias(c) for c in nums])
-    return row.unpivot([], nums, "feature", "median")
+    """M1: exact train median of every numeric feature, as (feature, median);
+    NULL for a feature without values.  All features go through one
+    distributed rank search; no task holds a column."""
+    long = train.select(*[F.col(c).cast("double").alias(c) for c in nums]).unpivot([], nums, "feature", "value")
+    every = train.sparkSession.createDataFrame([(c,) for c in nums], "feature string")
+    return every.join(medians(long, ["feature"], "value").select("feature", "median"), "feature", "left")
 
 
 def impute(df: DataFrame, medians: dict, nums: list[str]) -> DataFrame:
@@ -72,8 +82,7 @@ def category_codes(train: DataFrame, test: DataFrame, cats: list[str]) -> DataFr
         for x in parts[1:]:
             out = out.unionByName(x)
         return out
-    v = values(train).unionByName(values(test)).distinct()
-    return v.withColumn("code", (F.dense_rank().over(Window.partitionBy("feature").orderBy("value")) - 1).cast("int"))
+    return dense_codes(values(train).unionByName(values(test)), "feature", "value")
 
 
 def code_column(feature: str) -> str:
@@ -117,52 +126,84 @@ def prepare(train: DataFrame, test: DataFrame, exclude_ids: bool = False, featur
 
 
 def _forest(p: Params) -> RandomForestRegressor:
-    """The regressor used by the scout and the cross-validation: a seeded
-    random forest (trees of one level are grown in one pass over the data)."""
+    """The regressor of the cross-validation: a seeded random forest (trees
+    of one level are grown in one pass over the data)."""
     return RandomForestRegressor(featuresCol="features", labelCol=TARGET, numTrees=60, maxDepth=6, seed=p.seed)
 
 
+def split_counts(trees: str, features: list[str]) -> dict[str, int]:
+    """How often each feature splits a node, from ``toDebugString``."""
+    n = Counter(int(i) for i in re.findall(r"If \(feature (\d+) ", trees))
+    return {f: n.get(i, 0) for i, f in enumerate(features)}
+
+
 def feature_scout(train: DataFrame, test: DataFrame, p: Params, exclude_ids: bool = False) -> DataFrame:
-    """M4: tree importances on all candidate features; the top ``scout_top_k``
-    non-embedding features, then every embedding column, then categoricals."""
+    """M4: gradient-boosted trees on all candidate features; importance is the
+    number of splits a feature decides.  Kept are the top ``scout_top_k``
+    features that are no embedding column, every embedding column, and the
+    categoricals.  The fit sees its rows in a fixed order and seed, so a
+    rerun gives the same table."""
     prep = prepare(train, test, exclude_ids)
-    model = _forest(p).fit(prep.train)
-    imp = model.featureImportances.toArray().tolist()
+    rows = prep.train.select(*KEY, TARGET, "features").repartition(p.scout_partitions, *KEY).sortWithinPartitions(*KEY, TARGET).checkpoint()
+    model = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=p.scout_rounds, maxDepth=5, stepSize=0.1, maxBins=64,
+                         seed=p.seed).fit(rows)
+    imp = split_counts(model.toDebugString, prep.features)
     spark = train.sparkSession
-    rows = spark.createDataFrame([(f, float(v)) for f, v in zip(prep.features, imp)], "feature string, importance double")
+    found = spark.createDataFrame([(f, float(v)) for f, v in imp.items()], "feature string, importance double")
     emb = F.col("feature").startswith(EMB_PREFIX)
+    # one row per feature: the window holds the column list, not data
     rank = F.row_number().over(Window.partitionBy(emb).orderBy(F.desc("importance"), "feature"))
     cats = [c for c in CAT_FEATURES if c in prep.features]
     sel = emb | (~emb & (rank <= p.scout_top_k)) | F.col("feature").isin(cats)
-    return rows.withColumn("selected", sel)
+    return found.withColumn("selected", sel)
+
+
+def assign_folds(rows: DataFrame, folds: int, seed: int) -> DataFrame:
+    """M5: ``fold`` of every row.  The rows are put in the order of a keyed hash
+    of their shift key (a distributed sort, ties by the key and then the other
+    columns) and dealt out in turn, so fold sizes differ by one at most and the
+    first folds are the larger ones; rows with NULL keys are dealt like others."""
+    order = rows.withColumn("_h", F.xxhash64(*KEY, F.lit(seed)))
+    return global_row_number(order, ["_h", *KEY], "_rn").withColumn("fold", ((F.col("_rn") - 1) % folds).cast("int")).drop("_h", "_rn")
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def cv_regression(train: DataFrame, test: DataFrame, p: Params, exclude_ids: bool = False, tag: str = "full"):
-    """M5: ``folds``-fold CV with shuffled, seeded folds; out-of-fold
-    predictions for train, fold-averaged predictions for test (both clipped
-    at 0; RMSE on the unclipped values).  Returns (oof, test_pred, scores)."""
+    """M5: ``folds``-fold CV with shuffled, seeded folds of equal size, fitted
+    side by side; out-of-fold predictions for train with their fold,
+    fold-averaged predictions for test (both clipped at 0; RMSE on the unclipped
+    values).  Returns (oof, test_pred, scores); scores has a row per fold, one
+    over all rows (``oof``) and the spread of the fold scores (``std``)."""
     scout = feature_scout(train, test, p, exclude_ids)
-    feats = [r["feature"] for r in scout.where("selected").collect()]
-    prep = prepare(train, test, exclude_ids, features=feats)
-    tr = prep.train.withColumn("_fold", F.pmod(F.xxhash64(*KEY, F.lit(p.seed)), F.lit(p.folds)))
-    oof, tests, scores = [], [], []
-    for i in range(p.folds):
-        m = _forest(p).fit(tr.where(F.col("_fold") != i))
-        o = m.transform(tr.where(F.col("_fold") == i)).select(*KEY, TARGET, F.col("prediction").alias("_p"))
-        oof.append(o)
-        tests.append(m.transform(prep.test).select(*KEY, F.col("prediction").alias("_p")))
-    u = oof[0]
-    for x in oof[1:]:
-        u = u.unionByName(x)
-    t = tests[0]
-    for x in tests[1:]:
-        t = t.unionByName(x)
-    t = t.groupBy(*KEY).agg(F.avg("_p").alias("_p"))
-    fold_scores = (u.join(tr.select(*KEY, "_fold"), KEY)
-                   .groupBy("_fold").agg(F.sqrt(F.avg((F.col("_p") - F.col(TARGET)) ** 2)).alias("rmse"))
-                   .select(F.lit(tag).alias("model"), F.col("_fold").cast("string").alias("fold"), "rmse"))
-    overall = u.agg(F.lit(tag).alias("model"), F.lit("oof").alias("fold"),
-                    F.sqrt(F.avg((F.col("_p") - F.col(TARGET)) ** 2)).alias("rmse"))
-    scores = fold_scores.unionByName(overall).withColumn("rmse", round_np("rmse", 4))
+    feats = [r["feature"] for r in scout.where("selected").orderBy("feature").collect()]
+    prep = prepare(assign_folds(train, p.folds, p.seed), test, exclude_ids, features=feats)
+    tr = prep.train
+
+    def fit(i: int):
+        m = _forest(p).fit(tr.where(F.col("fold") != i))
+        return (m.transform(tr.where(F.col("fold") == i)).select(*KEY, TARGET, "fold", F.col("prediction").alias("_p")),
+                m.transform(prep.test).select(*KEY, F.col("prediction").alias("_p")))
+
+    with ThreadPoolExecutor(p.folds) as pool:
+        done = list(pool.map(inheritable_thread_target(train.sparkSession)(fit), range(p.folds)))
+    # predictions are kept: the scores and both reports read them
+    u = union_all([o for o, _ in done]).checkpoint()
+    t = union_all([x for _, x in done]).groupBy(*KEY).agg(F.avg("_p").alias("_p"))
+    rmse = F.sqrt(F.avg((F.col("_p") - F.col(TARGET)) ** 2)).alias("rmse")
+    by_fold = u.groupBy(F.col("fold").cast("string").alias("fold")).agg(rmse)
+    spread = by_fold.agg(F.lit("std").alias("fold"), F.stddev_pop("rmse").alias("rmse"))
+    scores = union_all([by_fold, u.agg(F.lit("oof").alias("fold"), rmse), spread]).select(
+        F.lit(tag).alias("model"), "fold", round_np("rmse", 4).alias("rmse"))
     clip0 = lambda c: F.greatest(F.col(c), F.lit(0.0))
-    return (u.select(*KEY, clip0("_p").alias(f"pred_{tag}")), t.select(*KEY, clip0("_p").alias(f"pred_{tag}")), scores)
+    return (u.select(*KEY, "fold", clip0("_p").alias(f"pred_{tag}")), t.select(*KEY, clip0("_p").alias(f"pred_{tag}")), scores)
+
+
+def both_predictions(route: DataFrame, full: DataFrame) -> DataFrame:
+    """M6: route and full predictions of the same shifts; keys may be NULL.
+    Out-of-fold predictions carry the fold, which both models share."""
+    f = full.select(*[F.col(k).alias(f"_{k}") for k in KEY], "pred_full")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEY]
+    return route.join(f, same).select(*KEY, *[c for c in ("fold",) if c in route.columns], "pred_route", "pred_full")

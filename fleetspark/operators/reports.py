@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import r4, round_np
 from ..functions.ranking import global_row_number
 from ..params import TARGET
+from .assemble import join_key
 
 KEY = ["dumper_id", "date_dpr", "shift"]
 
@@ -34,7 +35,7 @@ def rate_predictions(train: DataFrame, target_rows: DataFrame) -> DataFrame:
 
 def efficiency_delta(train: DataFrame, preds: DataFrame) -> DataFrame:
     """Per train shift, label, both predictions and full - route."""
-    j = train.select(*KEY, TARGET).join(preds, KEY)
+    j = join_key(train.select(*KEY, TARGET), preds, "inner")
     return j.withColumn("efficiency_delta", r4(F.col("pred_full") - F.col("pred_route")))
 
 
@@ -43,7 +44,7 @@ def daily_consistency(labels: DataFrame, train_preds: DataFrame) -> DataFrame:
     with absolute and percentage error."""
     actual = labels.groupBy(F.col("dumper_id"), F.col("date_dpr")).agg(F.sum(TARGET).alias("actual_daily_L"))
     pred = train_preds.groupBy("dumper_id", "date_dpr").agg(F.sum("pred_full").alias("pred_daily_L"))
-    d = actual.join(pred, ["dumper_id", "date_dpr"])
+    d = join_key(actual, pred, "inner", ["dumper_id", "date_dpr"])
     err = F.abs(F.col("pred_daily_L") - F.col("actual_daily_L"))
     return d.select("dumper_id", "date_dpr", r4("actual_daily_L").alias("actual_daily_L"),
                     r4("pred_daily_L").alias("pred_daily_L"), r4(err).alias("abs_error"),
@@ -95,7 +96,7 @@ def submission(id_mapping: DataFrame, test_preds: DataFrame, train: DataFrame, p
     mean_label = train.agg(F.avg(TARGET).alias("m")).first()["m"]
     m = id_mapping.select("id", F.col("vehicle").alias("dumper_id"), F.col("date").alias("date_dpr"),
                           F.trim(F.col("shift")).alias("shift"))
-    j = m.join(test_preds.select(*KEY, pred_col), KEY, "left")
+    j = join_key(m, test_preds.select(*KEY, pred_col))
     return j.select("id", r4(F.coalesce(F.col(pred_col), F.lit(mean_label))).alias("Predicted")).orderBy("id")
 
 

@@ -574,6 +574,14 @@ FROM telemetry GROUP BY 1"""),
                      "round_even(CASE WHEN std = 0 THEN 1.0 ELSE std END, 6) AS std FROM mscale"),
     "label_encode": q("SELECT feature, value, cast(dense_rank() OVER (PARTITION BY feature ORDER BY value) - 1 AS integer) "
                       "AS code FROM cat_vals"),
+    "cv_folds": q("SELECT cast(f AS integer) AS fold, n // 5 + CASE WHEN f < n % 5 THEN 1 ELSE 0 END AS n_rows "
+                  "FROM range(5) r(f), (SELECT count(*) AS n FROM mtrain) WHERE f < n"),
+    "final_embedding": q("""
+SELECT f.*, coalesce(round_even(e.h0, 4), 0.0) AS seq_h00, coalesce(e.h1, 0.0) AS seq_h01 FROM (
+  SELECT 'train' AS split, dumper_id, date_dpr, shift FROM final_train
+  UNION ALL SELECT 'test', dumper_id, date_dpr, shift FROM final_test) f
+LEFT JOIN (SELECT vehicle, date_dpr, shift_dpr, avg(speed) AS h0, cast(least(max(n), 600) AS double) AS h1 FROM seqr GROUP BY ALL) e
+  ON e.vehicle IS NOT DISTINCT FROM f.dumper_id AND e.date_dpr IS NOT DISTINCT FROM f.date_dpr AND e.shift_dpr IS NOT DISTINCT FROM f.shift"""),
     "efficiency_delta": q("SELECT * FROM delta"),
     "daily_consistency": q("SELECT * FROM daily"),
     "daily_summary": q("SELECT count(*) AS n_days, round_even(corr(pred_daily_L, actual_daily_L), 4) AS corr, "

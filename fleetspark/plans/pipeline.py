@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from ..operators.assemble import (agreement_report, assemble_test, assemble_train, fuel_labels, missing_report)
 from ..operators.clean import clean_haulers, clean_loaders
-from ..operators.model import KEY, cv_regression, model_rows
+from ..operators.model import both_predictions, cv_regression, model_rows
 from ..operators.pings import ping_pass
 from ..operators.reports import (daily_consistency, daily_series, daily_summary, efficiency_delta, scatter_sample,
                                  submission, summary, vehicle_ranking)
@@ -99,13 +98,6 @@ def sequences(spark: SparkSession, paths: Paths, p: Params) -> None:
         write_parquet(merged, _p(paths, f"{t}_final_seq"))
 
 
-def both_predictions(route: DataFrame, full: DataFrame) -> DataFrame:
-    """Route and full predictions of the same shifts; keys may be NULL."""
-    f = full.select(*[F.col(k).alias(f"_{k}") for k in KEY], "pred_full")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEY]
-    return route.join(f, same).select(*KEY, "pred_route", "pred_full")
-
-
 def model(spark: SparkSession, paths: Paths, p: Params) -> None:
     """Stage 6: route and full models, submissions and reports."""
     tr, te = model_rows(spark.read.parquet(_p(paths, "train_final_seq")), spark.read.parquet(_p(paths, "test_final_seq")))

@@ -6,6 +6,7 @@ columns match the DuckDB text in ``plans/oracle.py``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +20,12 @@ from ..operators.shift import ping_measures
 from ..operators.stops import load_candidates
 from ..operators.trips import TripEvents, marked_pings, trip_events, trip_features, trip_state
 from ..operators.assemble import (agreement_report, assemble_test, assemble_train, coverage_report, fuel_labels,
-                                  missing_report, split_by_mapping)
-from ..operators.model import category_codes, cv_regression, feature_columns, feature_scout, median_stats, model_rows
+                                  join_key, missing_report, split_by_mapping)
+from ..operators.model import assign_folds, both_predictions, category_codes, cv_regression, feature_columns, feature_scout, median_stats, model_rows
 from ..operators.model import impute, scale_stats
 from ..operators.reports import (daily_consistency, daily_series, daily_summary, efficiency_delta, rate_predictions,
                                  scatter_sample, submission, vehicle_ranking)
-from ..operators.sequence import attach_labels, embed, fuel_head, label_stats, sequence_rows, train_mae
+from ..operators.sequence import attach_labels, embed, fuel_head, label_stats, merge_embedding, sequence_rows, train_mae
 from ..sources.dims import fleet_classes
 from ..operators.pings import ping_pass
 from ..operators.shift import shift_features
@@ -148,6 +149,21 @@ class Ctx:
             return tr.checkpoint(eager=True), te.checkpoint(eager=True)
         return self.get("model_split", build)
 
+    @property
+    def model_split_seq(self):
+        """The model's rows with the sequence embedding and its fuel estimate merged in."""
+        def build():
+            emb = self.embedding
+            pred = fuel_head(*emb, self.seq_labels, self.p)
+            k = ["vehicle", "date_dpr", "shift_dpr"]
+            out = [merge_embedding(f, join_key(e, q, "left", k)) for f, e, q in zip((self.final_train, self.final_test), emb, pred)]
+            tr, te = model_rows(*out)
+            return tr.checkpoint(eager=True), te.checkpoint(eager=True)
+        return self.get("model_split_seq", build)
+
+    def cv(self, tag: str):
+        return self.get(f"cv_{tag}", lambda: cv_regression(*self.model_split_seq, self.p, exclude_ids=(tag == "route"), tag=tag))
+
     @property
     def rate_preds(self):
         def build():
@@ -316,15 +332,35 @@ def q_label_encode(spark, sf_dir):
 
 def q_feature_scout(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    return feature_scout(*c.model_split, c.p)
+    return feature_scout(*c.model_split_seq, c.p)
+
+
+def q_final_embedding(spark, sf_dir):
+    """F9/L8 on sequence means in the place of the fitted embedding, which SQL cannot express."""
+    c = _ctx(spark, sf_dir)
+    emb = c.seq_rows.groupBy("vehicle", "date_dpr", "shift_dpr").agg(
+        r4(F.avg("speed")).alias("seq_h00"), F.max("seq_len").cast("double").alias("seq_h01"))
+    parts = [merge_embedding(f, emb).select(F.lit(t).alias("split"), *K, "seq_h00", "seq_h01")
+             for t, f in (("train", c.final_train.withColumn("seq_h00", F.lit(-1.0))), ("test", c.final_test))]
+    return parts[0].unionByName(parts[1])
+
+
+def q_cv_folds(spark, sf_dir):
+    c = _ctx(spark, sf_dir)
+    return assign_folds(c.model_split[0], c.p.folds, c.p.seed).groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_cv_regression(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    tr, te = c.model_split
-    _, _, s_route = cv_regression(tr, te, c.p, exclude_ids=True, tag="route")
-    _, _, s_full = cv_regression(tr, te, c.p, exclude_ids=False, tag="full")
-    return s_route.unionByName(s_full)
+    return c.cv("route")[2].unionByName(c.cv("full")[2])
+
+
+def _predictions(which: int):
+    def q(spark, sf_dir):
+        c = _ctx(spark, sf_dir)
+        route, full = c.cv("route")[which], c.cv("full")[which]
+        return both_predictions(route, full)
+    return q
 
 
 def _shift_cols(*cols):
@@ -370,6 +406,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "median_impute": q_median_impute,
     "standardise": q_standardise,
     "label_encode": q_label_encode,
+    "cv_folds": q_cv_folds,
+    "final_embedding": q_final_embedding,
     "efficiency_delta": lambda spark, sf_dir: _ctx(spark, sf_dir).delta,
     "daily_consistency": lambda spark, sf_dir: _ctx(spark, sf_dir).daily,
     "daily_summary": lambda spark, sf_dir: daily_summary(_ctx(spark, sf_dir).daily),
@@ -383,5 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "seq_train_mae": q_seq_train_mae,
     "feature_scout": q_feature_scout,
     "cv_regression": q_cv_regression,
+    "train_predictions": _predictions(0),
+    "test_predictions": _predictions(1),
     "scatter_sample": lambda spark, sf_dir: scatter_sample(_ctx(spark, sf_dir).delta),
 }
