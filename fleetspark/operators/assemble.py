@@ -4,7 +4,9 @@ agreement reports (E19–E21)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nulls import div_or_null, fill0, r4
@@ -37,6 +39,14 @@ def fuel_labels(summary: DataFrame) -> DataFrame:
     )
 
 
+def duplicate_labels(labels: DataFrame) -> DataFrame:
+    """shift keys with more than one label row, which would multiply the
+    shift's training rows; one row per key with the number of labels and how far
+    they lie apart."""
+    g = labels.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_labels"), F.min(TARGET).alias("min_fuel_L"), F.max(TARGET).alias("max_fuel_L"))
+    return g.where(F.col("n_labels") > 1)
+
+
 def split_by_mapping(shift_feats: DataFrame, id_mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Shifts listed in the submission mapping form the test split, the rest
     the train split (semi/anti joins on the shift key)."""
@@ -98,24 +108,40 @@ def missing_report(df: DataFrame) -> DataFrame:
     return long.where(F.col("n_missing") > 0)
 
 
-def coverage_report(final_train: DataFrame, final_test: DataFrame, pings: DataFrame, loaders: DataFrame) -> DataFrame:
-    """Label coverage, id coverage, GPS-OK share and row counts as
-    ``(metric, value)`` rows (one small aggregate per input, unioned)."""
-    def one(df: DataFrame, metric: str, value) -> DataFrame:
-        return df.agg(F.lit(metric).alias("metric"), value.cast("double").alias("value"))
-    parts = [
-        one(final_train, "train_shifts", F.count(F.lit(1))),
-        one(final_train, "fuel_rows", F.count(TARGET)),
-        one(final_test, "test_shifts", F.count(F.lit(1))),
-        one(final_test, "id_mapped", F.count("id")),
-        one(pings, "dump_pings", F.count(F.lit(1))),
-        one(pings, "gps_ok_pct", r4(F.avg("gps_ok") * 100)),
-        one(loaders, "loader_pings", F.count(F.lit(1))),
-    ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+#: Marks the final rows that have an embedding of their own (others are filled with 0).
+EMBEDDED = "has_embedding"
+
+#: What is counted of each stage table while it is written.
+COVERAGE = {
+    "pings": {"dump_pings": lambda: F.count(F.lit(1)), "gps_ok_pct": lambda: r4(F.avg("gps_ok") * 100)},
+    "loaders": {"loader_pings": lambda: F.count(F.lit(1))},
+    "final_train": {"train_shifts": lambda: F.count(F.lit(1)), "fuel_rows": lambda: F.count(TARGET)},
+    "final_test": {"test_shifts": lambda: F.count(F.lit(1)), "id_mapped": lambda: F.count("id")},
+    "train_embedding": {"train_embedded_pct": lambda: _embedded_pct()},
+    "test_embedding": {"test_embedded_pct": lambda: _embedded_pct()},
+}
+
+
+def _embedded_pct() -> Column:
+    return r4(F.coalesce(F.avg(F.col(EMBEDDED).cast("double")), F.lit(0.0)) * 100)
+
+
+def observe(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+    """``df`` with the metrics of ``table`` attached: whatever action writes it
+    also yields them, without a pass of its own."""
+    seen = Observation(f"{table}-{uuid.uuid4().hex}")
+    return df.observe(seen, *[e().cast("double").alias(n) for n, e in COVERAGE[table].items()]), seen
+
+
+def coverage_rows(seen: Observation) -> list[tuple[str, float]]:
+    """``(metric, value)`` of a table that was written; a handful of numbers."""
+    return [(k, v) for k, v in seen.get.items()]
+
+
+def coverage_report(spark: SparkSession, seen: list[Observation]) -> DataFrame:
+    """Label, id and embedding coverage, GPS share and row counts as
+    ``(metric, value)`` rows, from what was observed."""
+    return spark.createDataFrame([r for s in seen for r in coverage_rows(s)], "metric string, value double")
 
 
 AGREEMENT_PAIRS = [("prod_hrs", "prod_hr_dpr"), ("idle_hrs", "idle_hr_dpr"), ("maint_hrs", "maint_hr_dpr"),

@@ -13,11 +13,16 @@ def body_up_events(pings: DataFrame, fleet_cls: DataFrame, p: Params) -> DataFra
     """Each rise of the body sensor paired with the next fall of the same
     vehicle (edges alternate, so the next edge after a rise is its fall); the
     event is the fall time when 10 s <= duration <= 600 s.  Only vehicles of
-    the analog class.  The edge rows are a small subset of the pings, so the
-    pairing window runs on them alone."""
-    e = pings.where(F.col("bu_rise") | F.col("bu_fall")).select("vehicle", "ts_us", "ping_id", "bu_rise")
-    w = Window.partitionBy("vehicle").orderBy("ts_us", "ping_id")
-    e = e.withColumn("fall_us", F.lead("ts_us").over(w))
+    the analog class.  The window runs on the edge rows alone and inside a time
+    bucket; the last edge of a bucket takes the first one of the next bucket
+    that has any."""
+    e = pings.where(F.col("bu_rise") | F.col("bu_fall")).select("vehicle", "_bkt", "ts_us", "ping_id", "bu_rise")
+    first = e.groupBy(F.col("vehicle").alias("_v"), F.col("_bkt").alias("_b")).agg(F.min("ts_us").alias("_first"))
+    after = first.withColumn("_after", F.lead("_first").over(Window.partitionBy("_v").orderBy("_b"))).drop("_first")
+    w = Window.partitionBy("vehicle", "_bkt").orderBy("ts_us", "ping_id")
+    e = e.withColumn("_next", F.lead("ts_us").over(w))
+    e = e.join(after, (e["vehicle"] == after["_v"]) & (e["_bkt"] == after["_b"]), "left")
+    e = e.withColumn("fall_us", F.coalesce("_next", "_after"))
     e = e.where(F.col("bu_rise") & F.col("fall_us").isNotNull())
     e = e.select("vehicle", F.col("ts_us").alias("rise_us"), "fall_us",
                  ((F.col("fall_us") - F.col("ts_us")) / F.lit(1_000_000.0)).alias("dur_sec"))

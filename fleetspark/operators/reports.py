@@ -8,7 +8,9 @@ can be checked against SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import r4, round_np
@@ -112,16 +114,23 @@ def scatter_sample(delta: DataFrame, seed: int = 42, n: int = 500) -> DataFrame:
 
 def summary(scores: DataFrame, daily_sum: DataFrame, ranking: DataFrame) -> DataFrame:
     """One row with RMSEs, their difference and % improvement, daily
-    correlation and MAPE, and the 3 least / most efficient vehicles."""
-    r = {row["model"]: row["rmse"] for row in scores.where(F.col("fold") == "oof").collect()}
-    route, full = r.get("route"), r.get("full")
-    ds = daily_sum.first()
-    top = [x["dumper_id"] for x in ranking.where("rank_high <= 3").orderBy("rank_high").collect()]
-    bottom = [x["dumper_id"] for x in ranking.where("rank_low <= 3").orderBy(F.desc("rank_low")).collect()]
-    spark = scores.sparkSession
-    imp = None if not route else round(100 * (route - full) / route, 1)
-    return spark.createDataFrame(
-        [(route, full, None if route is None else round(route - full, 4), imp, ds["corr"], ds["mape"],
-          ",".join(top), ",".join(bottom))],
-        "rmse_route double, rmse_full double, rmse_delta double, improvement_pct double, daily_corr double, "
-        "daily_mape double, least_efficient string, most_efficient string")
+    correlation and MAPE, and the 3 least / most efficient vehicles.  Facts of
+    the three reports become rows of one narrow table, which one aggregate folds."""
+    oof = F.col("fold") == "oof"
+    facts = [scores.where(oof & (F.col("model") == m)).select(F.lit(f"rmse_{m}").alias("fact"), F.col("rmse").alias("number")) for m in ("route", "full")]
+    facts += [daily_sum.select(F.lit(c).alias("fact"), F.col(c).alias("number")) for c in ("corr", "mape")]
+    facts += [ranking.where(F.col(r) <= 3).select(F.lit(r).alias("fact"), F.col(r).cast("double").alias("number"), F.col("dumper_id").alias("name"))
+              for r in ("rank_high", "rank_low")]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facts)
+    number = lambda f: F.max(F.when(F.col("fact") == f, F.col("number")))
+
+    def names(fact: str, sign: int) -> Column:
+        each = F.when(F.col("fact") == fact, F.struct((sign * F.col("number")).alias("k"), F.col("name").alias("v")))
+        return F.concat_ws(",", F.transform(F.array_sort(F.collect_list(each)), lambda x: x["v"]))
+
+    one = rows.agg(number("rmse_route").alias("rmse_route"), number("rmse_full").alias("rmse_full"), number("corr").alias("daily_corr"),
+                   number("mape").alias("daily_mape"), names("rank_high", 1).alias("least_efficient"), names("rank_low", -1).alias("most_efficient"))
+    gain = F.col("rmse_route") - F.col("rmse_full")
+    return one.select("rmse_route", "rmse_full", r4(gain).alias("rmse_delta"),
+                      round_np(F.try_divide(100 * gain, F.nullif(F.col("rmse_route"), F.lit(0.0))), 1).alias("improvement_pct"),
+                      "daily_corr", "daily_mape", "least_efficient", "most_efficient")

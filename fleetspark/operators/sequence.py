@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import flag, r4, round_np
 from ..params import SEQ_FEATURES, TARGET, Params
+from .assemble import join_key
 from .sequential import shift_positions
 
 KEY = ["vehicle", "date_dpr", "shift_dpr"]
@@ -140,10 +141,12 @@ def train_mae(pred_train: DataFrame, seq_labels: DataFrame) -> DataFrame:
     return j.agg(F.count(F.lit(1)).alias("n"), r4(F.avg(F.abs(F.col("seq_fuel_pred") - F.col("label")))).alias("mae"))
 
 
-def merge_embedding(final: DataFrame, emb: DataFrame) -> DataFrame:
-    """Drop existing embedding columns, left-join, unmatched -> 0."""
+def merge_embedding(final: DataFrame, emb: DataFrame, mark: str | None = None) -> DataFrame:
+    """Drop existing embedding columns, left-join, unmatched -> 0.
+    ``mark`` names a column that tells the matched rows."""
     cols = [c for c in emb.columns if c not in KEY]
     f = final.drop(*[c for c in cols if c in final.columns])
-    e = emb.select(F.col("vehicle").alias("dumper_id"), "date_dpr", F.col("shift_dpr").alias("shift"), *cols)
-    from .assemble import join_key
-    return join_key(f, e).fillna(0.0, subset=cols)
+    e = emb.select(F.col("vehicle").alias("dumper_id"), "date_dpr", F.col("shift_dpr").alias("shift"), *cols,
+                   *([F.lit(True).alias(mark)] if mark else []))
+    out = join_key(f, e).fillna(0.0, subset=cols)
+    return out.withColumn(mark, F.coalesce(mark, F.lit(False))) if mark else out

@@ -151,10 +151,12 @@ def derive_shift_features(a: DataFrame, p: Params) -> DataFrame:
 
 def fill_operator(a: DataFrame) -> DataFrame:
     """E15 + G6: own operator -> the vehicle's most frequent operator over its
-    shifts (ties -> smallest) -> -1.  A window on the vehicle over shift rows;
-    the shift table is already clustered by vehicle, so no extra exchange."""
-    mode = F.mode("operator_id", True).over(Window.partitionBy("dumper_id"))
-    return a.withColumn("operator_id", F.coalesce(F.col("operator_id"), mode, F.lit(-1)).cast("int"))
+    shifts (ties -> smallest) -> -1.  Shifts are counted per vehicle and
+    operator first, so no task holds a vehicle's history."""
+    n = a.where(F.col("operator_id").isNotNull()).groupBy("dumper_id", "operator_id").agg(F.count(F.lit(1)).alias("_n"))
+    mode = n.groupBy(F.col("dumper_id").alias("_v")).agg(F.max_by("operator_id", F.struct("_n", -F.col("operator_id"))).alias("_mode"))
+    a = a.join(mode, a["dumper_id"].eqNullSafe(mode["_v"]), "left")
+    return a.withColumn("operator_id", F.coalesce(F.col("operator_id"), F.col("_mode"), F.lit(-1)).cast("int")).drop("_v", "_mode")
 
 
 def shift_features(pings: DataFrame, p: Params, with_dpr: bool = False) -> DataFrame:

@@ -59,6 +59,8 @@ class Params:
     loader_max_dist_m: float = 50.0
     loader_max_dz_m: float = 15.0
     zone_alt_tol_m: float = 20.0
+    # coordinates of the zone file: its own crs member ("file"), or a declared one
+    zones_crs: str = "file"
     mark_tolerance_s: int = 5
     # "fleet": an event marks pings of every vehicle (reference behaviour);
     # "vehicle": only pings of the vehicle that produced the event.
@@ -79,6 +81,9 @@ class Params:
     # (a vehicle's pings are split into buckets; the row before a bucket is
     # carried over, so results do not depend on the width).
     bucket_s: int = 86_400
+    # the stage's ping table: input bytes per file, and files at least
+    ping_bucket_bytes: int = 256 << 20
+    min_ping_buckets: int = 8
     # largest event-bin table, in bytes, broadcast to the ping scan for proximity marks
     max_broadcast_bytes: int = 64 << 20
     # grid cell (metres) used to equi-join stop points with zone polygons

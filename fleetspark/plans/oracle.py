@@ -517,6 +517,15 @@ def q(select: str) -> str:
     return ctes() + "\n" + select
 
 
+def swap(sql: str, other: dict[str, str]) -> str:
+    """``sql`` with some of its pieces replaced; each must occur."""
+    for old, new in other.items():
+        if old not in sql:
+            raise ValueError(f"not in the text: {old}")
+        sql = sql.replace(old, new)
+    return sql
+
+
 K = "dumper_id, date_dpr, shift"
 
 SQL: dict[str, str] = {

@@ -5,10 +5,10 @@ columns match the DuckDB text in ``plans/oracle.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +20,7 @@ from ..operators.shift import ping_measures
 from ..operators.stops import load_candidates
 from ..operators.trips import TripEvents, marked_pings, trip_events, trip_features, trip_state
 from ..operators.assemble import (agreement_report, assemble_test, assemble_train, coverage_report, fuel_labels,
-                                  join_key, missing_report, split_by_mapping)
+                                  join_key, missing_report, observe, split_by_mapping)
 from ..operators.model import assign_folds, both_predictions, category_codes, cv_regression, feature_columns, feature_scout, median_stats, model_rows
 from ..operators.model import impute, scale_stats
 from ..operators.reports import (daily_consistency, daily_series, daily_summary, efficiency_delta, rate_predictions,
@@ -32,20 +32,25 @@ from ..operators.shift import shift_features
 from ..params import Params
 from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import FIXTURE_ANALOG_CUT_US, Inputs, load_inputs
+from ..sources.sinks import read_bucketed, remove, write_bucketed
+from .pipeline import PING_KEYS, PING_ORDER
 
 # the reference's analog cut (2026-02-17) lies after the fixture's 3.6 hours
-FIXTURE_PARAMS = Params(analog_cut_us=FIXTURE_ANALOG_CUT_US)
+FIXTURE_PARAMS = Params(analog_cut_us=FIXTURE_ANALOG_CUT_US, zones_crs="EPSG:32645")
 K = ["dumper_id", "date_dpr", "shift"]
 
 
 class Ctx:
-    """Lazily built shared intermediates of one query (plans only, no data)."""
+    """Shared intermediates of the queries over one dataset, each built on first
+    use: plans, and stage tables that are written once to the checkpoint folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params = FIXTURE_PARAMS):
         self.spark, self.p = spark, p
         ensure_checkpoint_dir(spark)
         self.inp: Inputs = load_inputs(spark, sf_dir)
         self._cache: dict = {}
+        self._written: list[dict] = []
+        self.seen: dict = {}
 
     def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._cache:
@@ -58,14 +63,23 @@ class Ctx:
 
     @property
     def pings(self) -> DataFrame:
-        # the ordered pass feeds the shift, stop, edge, mark and sequence plans;
-        # kept once (memory, spilling to disk; lost blocks recompute from lineage)
-        return self.get("pings", lambda: ping_pass(self.clean, self.p, is_train=True)
-                        .persist(StorageLevel.MEMORY_AND_DISK))
+        # the ordered pass feeds the shift, stop, edge, mark and sequence plans:
+        # written once, laid out for their windows
+        def build():
+            rows, self.seen["pings"] = observe(ping_pass(self.clean, self.p, is_train=True), "pings")
+            path = f"{ensure_checkpoint_dir(self.spark)}/pings-{uuid.uuid4().hex}"
+            layout = {"path": path, "name": f"pings_{path[-32:]}", "keys": PING_KEYS, "sort": PING_ORDER, "buckets": self.p.min_ping_buckets}
+            write_bucketed(rows, **layout)
+            self._written.append(layout)
+            return read_bucketed(self.spark, **layout)
+        return self.get("pings", build)
 
     def close(self) -> None:
-        if "pings" in self._cache:
-            self._cache["pings"].unpersist()
+        """Drop the tables this context wrote."""
+        for layout in self._written:
+            self.spark.sql(f"DROP TABLE IF EXISTS {layout['name']}")
+            remove(self.spark, layout["path"])
+        self._written.clear()
 
     @property
     def shift_dpr(self) -> DataFrame:
@@ -79,7 +93,7 @@ class Ctx:
 
     @property
     def loaders(self) -> DataFrame:
-        return self.get("loaders", lambda: clean_loaders(self.inp.telemetry, self.p))
+        return self.get("loaders", lambda: self._observed("loaders", clean_loaders(self.inp.telemetry, self.p)))
 
     @property
     def fleet_cls(self) -> DataFrame:
@@ -103,13 +117,16 @@ class Ctx:
 
     @property
     def final_train(self) -> DataFrame:
-        return self.get("final_train", lambda: assemble_train(self.split[0], self.trips, self.labels)
-                        .checkpoint(eager=True))
+        return self.get("final_train", lambda: self._observed("final_train", assemble_train(self.split[0], self.trips, self.labels)))
 
     @property
     def final_test(self) -> DataFrame:
-        return self.get("final_test", lambda: assemble_test(self.split[1], self.trips, self.inp.id_mapping)
-                        .checkpoint(eager=True))
+        return self.get("final_test", lambda: self._observed("final_test", assemble_test(self.split[1], self.trips, self.inp.id_mapping)))
+
+    def _observed(self, table: str, df: DataFrame) -> DataFrame:
+        """A stage table, checkpointed; E20 metrics are gathered on the way."""
+        df, self.seen[table] = observe(df, table)
+        return df.checkpoint(eager=True)
 
     @property
     def seq_rows(self) -> DataFrame:
@@ -283,7 +300,8 @@ def q_id_mapping(spark, sf_dir):
 
 def q_coverage(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    return coverage_report(c.final_train, c.final_test, c.pings, c.loaders)
+    stages = {"final_train": c.final_train, "final_test": c.final_test, "pings": c.pings, "loaders": c.loaders}
+    return coverage_report(spark, [c.seen[t] for t in stages])
 
 
 def q_sequences(spark, sf_dir):

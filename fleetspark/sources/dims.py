@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geo import utm_expr
 from ..functions.nulls import nan_to_null
 
 # --- file helpers -----------------------------------------------------------
@@ -90,7 +91,11 @@ def conform_fuel_summary(df: DataFrame) -> DataFrame:
 # --- id mapping ---------------------------------------------------------------
 
 
-def read_id_mapping(spark: SparkSession, path: str) -> DataFrame:
+def read_id_mapping(spark: SparkSession, path: str | None) -> DataFrame:
+    """A5: the submission ids; a mapping that is not there is an empty one, so
+    test shifts keep a NULL id."""
+    if not path or not existing_paths(spark, [path]):
+        return spark.createDataFrame([], "id bigint, vehicle string, date date, shift string")
     df = read_csv(spark, path)
     return df.select(
         F.col("id").cast("bigint").alias("id"),
@@ -102,21 +107,45 @@ def read_id_mapping(spark: SparkSession, path: str) -> DataFrame:
 
 # --- zones (GeoJSON) ----------------------------------------------------------
 
-_FEATURES = "struct<features: array<struct<properties: map<string,string>, " \
+_FEATURES = "struct<crs: struct<properties: struct<name: string>>, features: array<struct<properties: map<string,string>, " \
             "geometry: struct<type: string, coordinates: string>>>>"
 
+#: Zone coordinates are lon/lat degrees, or metres of the zone that stops are projected to.
+LON_LAT = ("EPSG:4326", "urn:ogc:def:crs:EPSG::4326", "OGC:CRS84", "urn:ogc:def:crs:OGC:1.3:CRS84", "CRS84", "WGS84")
+UTM_45N = ("EPSG:32645", "urn:ogc:def:crs:EPSG::32645")
 
-def zones_from_geojson_text(text_df: DataFrame, text_col: str = "value") -> DataFrame:
+
+def zones_from_geojson_text(text_df: DataFrame, text_col: str = "value", zones_crs: str = "file") -> DataFrame:
     """GeoJSON FeatureCollection text -> one row per zone with
-    ``polygons array<array<array<struct<x,y>>>>`` (polygon, ring, point),
-    Polygon and MultiPolygon both normalised, and ``median_altitude``."""
+    ``polygons array<array<array<struct<x,y>>>>`` (polygon, ring, point) in
+    UTM 45N metres, Polygon and MultiPolygon both normalised, and
+    ``median_altitude``.
+
+    ``zones_crs`` declares the coordinates; ``file`` takes the file's own
+    ``crs`` member, and lon/lat where it has none (RFC 7946).  Lon/lat rings are
+    projected like the pings.  A reference system that is not known and
+    coordinates that cannot be degrees raise an error instead of giving zones
+    that no stop can meet."""
+    if zones_crs != "file" and zones_crs not in LON_LAT + UTM_45N:
+        raise ValueError(f"unknown zones_crs {zones_crs!r}: {', '.join(LON_LAT + UTM_45N)} or 'file'")
     fc = text_df.select(F.from_json(F.col(text_col), _FEATURES).alias("fc"))
-    feats = fc.select(F.posexplode("fc.features").alias("zone_id", "f"))
+    crs = F.coalesce("fc.crs.properties.name", F.lit(LON_LAT[0])) if zones_crs == "file" else F.lit(zones_crs)
+    feats = fc.select(crs.alias("crs"), F.posexplode("fc.features").alias("zone_id", "f"))
     poly = F.from_json(F.col("f.geometry.coordinates"), "array<array<array<double>>>")
     multi = F.from_json(F.col("f.geometry.coordinates"), "array<array<array<array<double>>>>")
     as_polys = F.when(F.col("f.geometry.type") == "Polygon", F.array(poly)).otherwise(multi)
-    to_xy = lambda polys: F.transform(polys, lambda p: F.transform(p, lambda r: F.transform(
-        r, lambda pt: F.struct(pt[0].alias("x"), pt[1].alias("y")))))
+
+    def place(pt):
+        east, north = utm_expr(pt[0], pt[1])
+        wrong = F.concat(F.lit("zone coordinates are no degrees, declare zones_crs: "), pt[0].cast("string"), F.lit(", "), pt[1].cast("string"))
+        unknown = F.concat(F.lit("unknown crs of the zone file: "), F.col("crs"))
+        degrees = (F.abs(pt[0]) <= 180) & (F.abs(pt[1]) <= 90)
+        as_is = F.struct(pt[0].alias("x"), pt[1].alias("y"))
+        projected = F.when(degrees, F.struct(east.alias("x"), north.alias("y"))).otherwise(F.raise_error(wrong).cast("struct<x:double,y:double>"))
+        return F.when(F.col("crs").isin(*UTM_45N), as_is).when(F.col("crs").isin(*LON_LAT), projected).otherwise(
+            F.raise_error(unknown).cast("struct<x:double,y:double>"))
+
+    to_xy = lambda polys: F.transform(polys, lambda p: F.transform(p, lambda r: F.transform(r, place)))
     return feats.select(
         F.col("zone_id").cast("int").alias("zone_id"),
         to_xy(as_polys).alias("polygons"),
@@ -124,6 +153,6 @@ def zones_from_geojson_text(text_df: DataFrame, text_col: str = "value") -> Data
     )
 
 
-def read_zones(spark: SparkSession, path: str) -> DataFrame:
+def read_zones(spark: SparkSession, path: str, zones_crs: str = "file") -> DataFrame:
     text = spark.read.option("wholetext", True).text(path)
-    return zones_from_geojson_text(text)
+    return zones_from_geojson_text(text, zones_crs=zones_crs)

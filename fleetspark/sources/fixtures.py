@@ -29,6 +29,17 @@ ZONES_GEOJSON = (
     '"coordinates": [[[500000, 2600000], [500200, 2600000], [500000, 2600170], [500000, 2600000]]]}}]}'
 )
 
+#: The same zones in degrees, each grown by two parts in a million about its middle (0.2 mm), so that stops on an edge stay on the zone.
+ZONES_LON_LAT = (
+    '{"type": "FeatureCollection", "features": ['
+    '{"type": "Feature", "properties": {"name": "Z1", "median_altitude": 650}, "geometry": {"type": "Polygon", "coordinates": '
+    '[[[87.00048975315, 23.51055602801], [87.00146926337, 23.51055602185], [87.00146927138, 23.51127865208], '
+    '[87.00048975582, 23.51127865824], [87.00048975315, 23.51055602801]]]}}, '
+    '{"type": "Feature", "properties": {"name": "Z2", "median_altitude": 640}, "geometry": {"type": "Polygon", "coordinates": '
+    '[[[86.99999999869, 23.51019471407], [87.00195901378, 23.51019470175], [86.99999999869, 23.51173030329], '
+    '[86.99999999869, 23.51019471407]]]}}]}'
+)
+
 
 def telemetry_from_events(events: DataFrame) -> DataFrame:
     b = events.selectExpr(
@@ -106,7 +117,7 @@ def id_mapping_from_telemetry(tel: DataFrame) -> DataFrame:
 
 
 def zones_literal(spark: SparkSession) -> DataFrame:
-    return zones_from_geojson_text(spark.createDataFrame([(ZONES_GEOJSON,)], "value string"))
+    return zones_from_geojson_text(spark.createDataFrame([(ZONES_GEOJSON,)], "value string"), zones_crs="EPSG:32645")
 
 
 @dataclass

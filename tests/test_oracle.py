@@ -4,12 +4,14 @@ smallest tables; rows-only queries run and return rows."""
 import pytest
 
 import __spark_entry__ as E
-from fleetspark.plans.queries import QUERIES
+from fleetspark.plans import variants
+from fleetspark.plans.queries import QUERIES as BASE
 from fleetspark.plans.verify import compare, duck
 
 from .conftest import SF_SMALL
 
 SQL = E.oracle_sql()
+QUERIES = BASE | variants.QUERIES
 NAMES = sorted(set(SQL) & set(QUERIES))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetspark.plans import queries as Q
 from fleetspark.plans.pipeline import Paths, run_pipeline
 from fleetspark.sources.fixtures import ZONES_GEOJSON, load_inputs
+from fleetspark.sources.sinks import read_table
 
 from .conftest import SF_SMALL
 
@@ -36,8 +37,23 @@ def run(spark):
 
 def test_stage_tables_written(run):
     spark, paths, d = run
-    for name in ("train_pings", "train_loaders", "train_features", "train_trip_features", "train_final", "test_final"):
+    for name in ("train_pings", "train_loaders", "train_features", "train_trip_features"):
         assert spark.read.parquet(f"{paths.out}/{name}").count() > 0, name
+    for tag in ("train", "test"):
+        final = read_table(spark, f"{paths.out}/{tag}_final")
+        assert final.count() > 0 and {"seq_h00", "seq_h15", "seq_fuel_pred"} <= set(final.columns) and "has_embedding" not in final.columns
+
+
+def test_coverage_is_what_the_tables_hold(run):
+    spark, paths, _ = run
+    got = {(r.table, r.metric): float(r.value) for r in spark.read.option("header", True).csv(f"{paths.out}/coverage_report").collect()}
+    assert got["train_pings", "dump_pings"] == spark.read.parquet(f"{paths.out}/train_pings").count()
+    assert got["test_pings", "loader_pings"] == spark.read.parquet(f"{paths.out}/test_loaders").count()
+    final, emb = read_table(spark, f"{paths.out}/train_final"), spark.read.parquet(f"{paths.out}/train_seq_features")
+    keys = emb.select(F.col("vehicle").alias("dumper_id"), "date_dpr", F.col("shift_dpr").alias("shift"))
+    matched = final.join(keys, ["dumper_id", "date_dpr", "shift"], "left_semi").count()
+    assert got["embedding", "train_embedded_pct"] == pytest.approx(100 * matched / final.count(), abs=1e-4)
+    assert got["final", "fuel_rows"] == final.where("fuel_consumed_L is not null").count()
 
 
 def test_file_pipeline_equals_query_registry(run):
@@ -57,7 +73,7 @@ def test_model_stage_keeps_the_keys(run):
     spark, paths, _ = run
     keys = ["dumper_id", "date_dpr", "shift"]
     for tag in ("train", "test"):
-        final, pred = (spark.read.parquet(f"{paths.out}/{tag}_{x}") for x in ("final_seq", "predictions"))
+        final, pred = read_table(spark, f"{paths.out}/{tag}_final"), spark.read.parquet(f"{paths.out}/{tag}_predictions")
         final = final.where("dumper_id like 'Dump%'" + (" and fuel_consumed_L is not null" if tag == "train" else "")).select(keys)
         assert [pred.schema[k].dataType for k in keys] == [final.schema[k].dataType for k in keys]
         assert pred.count() == final.count()
