@@ -213,7 +213,7 @@ def described(groups: DataFrame, before: DataFrame, words: DataFrame, k: int) ->
                     F.concat(F.array("sa"), "sr").alias("r"), F.col("last").alias("_last"))
 
 
-#: exact: 10^6 a a and l r stay below 10^38 while no count reaches 10^16
+#: exact: 10^6 a a and l r stay below 10^38 while a is below 10^15; beyond it Spark raises an error
 SCORE = "cast((cast(1000000 as decimal(7,0)) * cast(a as decimal(15,0)) * cast(a as decimal(15,0))) div (cast(x.l as decimal(19,0)) * cast(x.r as decimal(19,0))) as bigint)"
 
 
