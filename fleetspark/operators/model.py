@@ -144,7 +144,7 @@ def feature_scout(train: DataFrame, test: DataFrame, p: Params, exclude_ids: boo
     categoricals.  The fit sees its rows in a fixed order and seed, so a
     rerun gives the same table."""
     prep = prepare(train, test, exclude_ids)
-    rows = prep.train.select(*KEY, TARGET, "features").repartition(p.scout_partitions, *KEY).sortWithinPartitions(*KEY, TARGET).checkpoint()
+    rows = prep.train.select(*KEY, TARGET, "features").repartition(*KEY).sortWithinPartitions(*KEY, TARGET).checkpoint()
     model = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=p.scout_rounds, maxDepth=5, stepSize=0.1, maxBins=64,
                          seed=p.seed).fit(rows)
     imp = split_counts(model.toDebugString, prep.features)

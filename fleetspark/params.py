@@ -74,7 +74,6 @@ class Params:
     embed_dim: int = 16
     scout_top_k: int = 20
     scout_rounds: int = 150
-    scout_partitions: int = 8
     folds: int = 5
     seed: int = 42
     # execution: width of the time bucket that bounds one ordered window task
