@@ -159,3 +159,30 @@ def test_marks_equal_a_scan_of_all_events(spark, scope):
     for rows in (None, 3):  # shuffled and broadcast
         got = mark_pings(spark.createDataFrame(pg, "vehicle string, ping_id long, ts_us long"), bins, p, bins_rows=rows)
         assert {(r.vehicle, r.ping_id): r.ev_flag for r in got.collect()} == want
+
+
+def redfearn(lon, lat, lon0=87.0):
+    """UTM by the classic power series in the meridian arc, another way than the library's."""
+    a, f, k0 = 6378137.0, 1 / 298.257223563, 0.9996
+    e2 = f * (2 - f)
+    phi, dl = np.radians(lat), np.radians(lon - lon0)
+    s, c, t = np.sin(phi), np.cos(phi), np.tan(phi)
+    nu, rho = a / np.sqrt(1 - e2 * s * s), a * (1 - e2) / (1 - e2 * s * s) ** 1.5
+    psi = nu / rho
+    # the meridian arc by numerical integration
+    x = np.linspace(0, phi, 20_001)
+    m = np.trapezoid(a * (1 - e2) / (1 - e2 * np.sin(x) ** 2) ** 1.5, x)
+    e = nu * dl * c * (1 + dl**2 * c**2 / 6 * (psi - t**2) + dl**4 * c**4 / 120 * (4 * psi**3 * (1 - 6 * t**2) + psi**2 * (1 + 8 * t**2) - 2 * psi * t**2 + t**4))
+    n = m + nu * s * dl**2 * c / 2 * (1 + dl**2 * c**2 / 12 * (4 * psi**2 + psi - t**2)
+                                      + dl**4 * c**4 / 360 * (8 * psi**4 * (11 - 24 * t**2) - 28 * psi**3 * (1 - 6 * t**2) + psi**2 * (1 - 32 * t**2) - 2 * psi * t**2 + t**4))
+    return 500_000 + k0 * e, k0 * n
+
+
+def test_projection_against_another_series(spark):
+    from fleetspark.functions.geo import utm_expr
+    points = [(87.0, 23.5), (85.02, 23.51), (88.9, 23.6), (86.0, 0.0), (84.1, 60.0)]
+    df = spark.createDataFrame(points, "lon double, lat double")
+    x, y = utm_expr(F.col("lon"), F.col("lat"))
+    got = {(r.lon, r.lat): (r.x, r.y) for r in df.select("lon", "lat", x.alias("x"), y.alias("y")).collect()}
+    for p in points:
+        assert got[p] == pytest.approx(redfearn(*p), abs=2e-3)
