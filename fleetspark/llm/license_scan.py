@@ -12,7 +12,7 @@ where neither the whole text matches anything nor a line matches the template,
 its best run counts as one more match.  A run begins and ends with a bigram of
 the template (others at the ends only lower the coefficient), is not part of a
 line that matches, and holds as many bigrams as the upper bound admits at most
-(repeats inside the template on top).  The DuckDB text scores lines and whole texts only.
+(repeats inside the template on top).
 
 Result: a row per document with ``doc_id, n_units`` (lines and whole texts within
 the bounds of some template), ``n_matches`` (unit and template pairs that match,
@@ -249,22 +249,39 @@ def op4(spark, sf_dir: str) -> DataFrame:
 
 
 def sql4(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """DuckDB text: every unit against every template, without the size bounds."""
+    """DuckDB text: every unit against every template without the size bounds, and every run of words between two
+    bigrams of a template as a group of rows."""
     norm = "trim(regexp_replace(translate({}, '" + UPPER + "', '" + LOWER + "'), '[^a-z0-9]+', ' ', 'g'))"
-    vals = ", ".join("({}, '{}', '{}')".format(i, lic, body.replace("'", "''")) for i, lic, body in templates)
+    vals = ", ".join("({}, '{}', {}, {}, '{}')".format(i, lic, lo, longest, body.replace("'", "''"))
+                     for (i, lic, body), (_, _, lo, _, longest, _) in zip(templates, template_rows(templates, threshold)))
     t = Fraction(str(threshold))
     a, b = t.numerator, t.denominator
     return f"""
-with tp as (select id, lic, string_split({norm.format('body')}, ' ') w from (values {vals}) v(id, lic, body)),
- t as (select id, lic, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) g from tp),
+with tp as (select id, lic, lo, longest, string_split({norm.format('body')}, ' ') w from (values {vals}) v(id, lic, lo, longest, body)),
+ t as (select id, lic, lo, longest, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) g from tp),
  d as (select row_number() over () r, doc_id, coalesce(text, '') x from documents),
- u as (select r, unnest(string_split(x, chr(10))) x from d where contains(x, chr(10)) union all select r, x from d),
- uw as (select row_number() over () k, r, string_split({norm.format('x')}, ' ') w from u),
- ug as (select k, r, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) g from uw where len(w) >= 2),
- near as (select k, r, g from ug where exists (select 1 from t where len(ug.g) * {2 * b - a} >= len(t.g) * {a} and len(ug.g) * {a} <= len(t.g) * {2 * b - a})),
- s as (select n.k, n.r, t.id, t.lic, 2.0 :: double * len(list_intersect(n.g, t.g)) / (len(n.g) + len(t.g)) dice from near n, t),
- m as (select r, count(*) n, max(dice) dice, arg_max(lic, [dice, -id :: double]) lic from s where dice >= {threshold} group by r),
- c as (select r, count(*) n from near group by r)
-select d.doc_id, coalesce(c.n, 0) :: bigint n_units, coalesce(m.n, 0) :: bigint n_matches, m.lic license, coalesce(round(m.dice, 6), 0) dice
-from d left join c using (r) left join m using (r)
+ ls as (select r, len(string_split(x, chr(10))) nl, unnest(string_split(x, chr(10))) x, unnest(range(len(string_split(x, chr(10))))) ln from d),
+ lw as (select r, nl, ln, [y for y in string_split({norm.format('x')}, ' ') if y <> ''] w from ls),
+ u as (select r, ln, w from lw where nl > 1 union all select r, -1, flatten(list(w order by ln)) from lw group by r),
+ ug as (select r, ln, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) g from u where len(w) >= 2),
+ near as (select r, ln, g from ug where exists (select 1 from t where len(ug.g) * {2 * b - a} >= len(t.g) * {a} and len(ug.g) * {a} <= len(t.g) * {2 * b - a})),
+ s as (select n.r, n.ln, t.id, t.lic, 2.0 :: double * len(list_intersect(n.g, t.g)) / (len(n.g) + len(t.g)) dice from near n, t),
+ m as (select * from s where dice >= {threshold}),
+ c as (select r, count(*) n from near group by r),
+ ws as (select r, ln, unnest(w) word, unnest(range(len(w))) i from lw),
+ ps as (select r, ln, word, row_number() over (partition by r order by ln, i) p from ws),
+ bs as (select r, p, ln, lead(ln) over o ln2, word || ' ' || lead(word) over o g from ps window o as (partition by r order by p)),
+ hit as (select bs.r, x.id, bs.p, bs.ln, bs.ln2, row_number() over (partition by bs.r, x.id order by bs.p) q
+         from bs join (select id, unnest(g) g from t) x using (g)
+         where not exists (select 1 from m where m.r = bs.r and (m.ln = -1 or m.id = x.id))),
+ run as (select h.r, h.id, h.p p1, k.p p2 from hit h join t using (id) join hit k
+         on k.r = h.r and k.id = h.id and k.p between h.p and h.p + t.longest - 1 and k.q - h.q + 1 >= t.lo
+         where not (h.ln = k.ln2 and exists (select 1 from m where m.r = h.r and m.ln = h.ln))),
+ rd as (select run.r, run.id, t.lic, 2.0 :: double * count(distinct bs.g) filter (where list_contains(t.g, bs.g)) / (count(distinct bs.g) + len(any_value(t.g))) dice
+        from run join t using (id) join bs on bs.r = run.r and bs.p between run.p1 and run.p2 group by run.r, run.id, t.lic, run.p1, run.p2),
+ rb as (select r, id, lic, max(dice) dice from rd group by r, id, lic having max(dice) >= {threshold}),
+ best as (select r, count(*) n, max(dice) dice, arg_max(lic, [dice, -id :: double]) lic
+          from (select r, id, lic, dice from m union all select r, id, lic, dice from rb) group by r)
+select d.doc_id, coalesce(c.n, 0) :: bigint n_units, coalesce(best.n, 0) :: bigint n_matches, best.lic license, coalesce(round(best.dice, 6), 0) dice
+from d left join c using (r) left join best using (r)
 """
