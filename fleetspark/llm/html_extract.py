@@ -57,6 +57,9 @@ BOILERPLATE = re.compile(
     r"complementary|skip)(?:$|[\s_-]|\d)", re.I)
 #: Parts of a class name that make it tell of a layout or a state.
 LAYOUT = re.compile(r"(?:^|[_-])(?:(?:no|not|non|has|have|with|without|hide)(?=[_-])|layout(?:$|[_-]))", re.I)
+#: The header of an article, not of a page.
+OWN_HEADER = re.compile(r"(?:article|post|entry|story|content)[_-]header$", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Inline elements without text of the page.
 UNSHOWN = frozenset(("annotation", "annotation-xml"))
 
@@ -68,10 +71,10 @@ DIGITS = re.compile(r"\d+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "dropped", "score")
+    __slots__ = ("tag", "path", "dropped", "heads", "score")
 
-    def __init__(self, tag: str, path: str, dropped: bool):
-        self.tag, self.path, self.dropped, self.score = tag, path, dropped, 0
+    def __init__(self, tag: str, path: str, dropped: bool, heads: bool = False):
+        self.tag, self.path, self.dropped, self.heads, self.score = tag, path, dropped, heads, 0
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -81,10 +84,12 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def _is_boilerplate(a: dict[str, str]) -> bool:
-    if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", ""):
-        return True
-    return any(k in a and any(BOILERPLATE.search(x) and not LAYOUT.search(x) for x in a[k].split()) for k in ("class", "id", "role"))
+def _hidden(a: dict[str, str]) -> bool:
+    return "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "")
+
+
+def _boilerplate_names(a: dict[str, str]) -> list[str]:
+    return [x for k in ("class", "id", "role") if k in a for x in a[k].split() if BOILERPLATE.search(x) and not LAYOUT.search(x)]
 
 
 def blocks(page: str) -> tuple[list[tuple[tuple[Node, ...], str, int]], list[Node]]:
@@ -167,7 +172,14 @@ def blocks(page: str) -> tuple[list[tuple[tuple[Node, ...], str, int]], list[Nod
             continue
         up = stack[-1]
         a = _attributes(raw) if raw.strip(" /\n\t\r") else {}
-        dropped = up.dropped or tag in DROP or tag in UNSHOWN or tag not in ("html", "body", "article", "main") and bool(a) and _is_boilerplate(a)
+        names = _boilerplate_names(a) if a and tag not in ("html", "body", "article", "main") else []
+        own = tag in UNSHOWN or bool(a) and tag not in ("html", "body", "article", "main") and _hidden(a)
+        own_head = tag == "header" and any(x.tag in ("article", "main") for x in stack) or tag not in DROP and any(map(OWN_HEADER.match, names))
+        # an article's own header is dropped but for its headings
+        heads = not own and (up.heads or not up.dropped) and (own_head and all(map(OWN_HEADER.match, names)) or up.heads and tag not in DROP and not names)
+        dropped = up.dropped or tag in DROP or own or bool(names)
+        if tag in HEADINGS and heads and up.heads:
+            dropped = heads = False
         if tag in RAW:
             e = re.compile(rf"</{tag}(?=[\s/>]|$)", re.I).search(page, at)
             at = e.start() if e else n
@@ -182,7 +194,7 @@ def blocks(page: str) -> tuple[list[tuple[tuple[Node, ...], str, int]], list[Nod
         if tag in BLOCK and tag != "p":
             name = tag + "".join("." + c for c in sorted(DIGITS.sub("N", cls).split()))
             path = f"{up.path}/{name}"
-        node = Node(tag, path, dropped)
+        node = Node(tag, path, dropped, heads)
         stack.append(node)
         if tag in CONTAINERS and not dropped:
             containers.append(node)
