@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import ensure_checkpoint_dir
+from ..sources.sinks import remove
 
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -122,11 +123,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of ``stored`` tables that have not been deleted.
+STORED: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: cuts
     the lineage and keeps narrow, columnar copies that survive lost executors."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
+    STORED.append(path)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
@@ -135,18 +141,45 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete the files of a table made by ``stored`` that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    delete_stored(df.sparkSession, [df.stored_at])
+
+
+def delete_stored(spark: SparkSession, paths: list[str]) -> None:
+    for p in list(paths):
+        remove(spark, p)
+        if p in STORED:
+            STORED.remove(p)
+
+
+def shielded(docs: DataFrame, used: tuple[str, ...] = ("doc_id", "text")) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with the columns that an operator does not use under names that it does
+    not use either, and the way back to all columns in their order."""
+    names = {c: c if c in used else f"_extra{i}_" for i, c in enumerate(docs.columns)}
+    back = [F.col(n).alias(c) for c, n in names.items()]
+    return docs.select(*[F.col(c).alias(n) for c, n in names.items()]), lambda df: df.select(*back)
+
+
+#: A join side of at most so many narrow rows is broadcast; a larger one is shuffled.
+SMALL_ROWS = 400_000
+
+
+#: and of at most so many bytes, by what its strings and binaries hold.
+SMALL_BYTES = 16 << 20
 
 
-#: A join side of at most so many narrow rows is broadcast (about 10 MB); a larger one is shuffled.
-SMALL_ROWS = 100_000
+def few(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` are few and short enough to be sent to every task."""
+    first = df.limit(SMALL_ROWS + 1)
+    long = [F.length(f.name) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = sum([F.coalesce(x, F.lit(0)) for x in long], F.lit(16 * len(df.columns)))
+    n, total = first.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    return n <= SMALL_ROWS and (total or 0) <= SMALL_BYTES
 
 
 def small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if a count shows that it is small, else as it is."""
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+    """``df``, a table of columns of plain types, marked for broadcast if a count of its rows
+    and bytes shows that it is small, else as it is."""
+    return F.broadcast(df) if few(df) else df
 
 
 def running_start(df: DataFrame, keys: list[str], order: list[Column], bucket: Column, value: Column, out: str) -> DataFrame:
@@ -177,20 +210,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Min-label rounds: every node takes the smallest label next to it, then the
     label of its label (pointer jump), until nothing changes.  Labels live in
-    Spark; each round's table is checkpointed to the shared folder, and the
-    minimum is pre-aggregated before it is shuffled, so a hub is no hot group."""
+    Spark; each round's table is written to the shared folder, and the
+    minimum is pre-aggregated before it is shuffled, so a hub is no hot group.
+    Labels are broadcast while they are few; else the joins shuffle them."""
     e = edges.select(F.col(a).alias("s"), F.col(b).alias("d")).where("s <> d")
-    both = e.union(e.select("d", "s")).distinct().checkpoint()
-    lab = both.groupBy(F.col("s").alias("id")).agg(F.least(F.min("d"), F.min("s")).alias("component")).checkpoint()
+    both = stored(e.union(e.select("d", "s")).distinct(), "edges")
+    lab = stored(both.groupBy(F.col("s").alias("id")).agg(F.least(F.min("d"), F.min("s")).alias("component")), "labels")
+    mark = F.broadcast if few(lab) else lambda df: df
     while True:
-        near = both.join(lab.select(F.col("id").alias("d"), "component"), "d").groupBy(F.col("s").alias("id")).agg(
+        near = both.join(mark(lab.select(F.col("id").alias("d"), "component")), "d").groupBy(F.col("s").alias("id")).agg(
             F.min("component").alias("m"))
-        step = lab.join(near, "id").select("id", F.least("component", "m").alias("c"), F.col("component").alias("was"))
+        step = near.join(mark(lab), "id").select("id", F.least("component", "m").alias("c"), F.col("component").alias("was"))
         up = lab.select(F.col("id").alias("c"), F.col("component").alias("cc"))
-        new = step.join(up, "c", "left").select("id", F.least(F.col("c"), F.coalesce("cc", "c")).alias("component"), "was").checkpoint()
-        if new.where("component <> was").isEmpty():
-            return new.select("id", "component")
-        lab = new.select("id", "component")
+        new = stored(step.join(mark(up), "c", "left").select("id", F.least(F.col("c"), F.coalesce("cc", "c")).alias("component"), "was"), "labels")
+        done = new.where("component <> was").isEmpty()
+        discard(lab)
+        lab = new
+        if done:
+            discard(both)
+            return lab.select("id", "component")
 
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)

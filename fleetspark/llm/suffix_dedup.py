@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, mix64, stored, stream_arrow, table, text_of, worker_table
+from .common import map_arrow, mix64, shielded, stored, stream_arrow, table, text_of, worker_table
 
 LENGTH = 100
 GRAM = 40
@@ -443,15 +443,14 @@ def dedup(docs: DataFrame, keep: list[str] | None = None, length: int = LENGTH,
 
 def deduped_documents(docs: DataFrame) -> DataFrame:
     """Pipeline form: all columns, with the remaining text (the bytes of a character that was cut go) and its n_chars."""
-    cols = docs.columns
-    got = dedup(docs, [c for c in cols if c not in ("text", "n_chars")])
+    d, back = shielded(docs, ("doc_id", "text", "n_chars"))
+    got = dedup(d, [c for c in d.columns if c not in ("text", "n_chars")])
 
     @F.arrow_udf("string")
     def decoded(x: pa.Array) -> pa.Array:
         return pa.array([v.decode("utf-8", "ignore") for v in x.to_pylist()], pa.string())
 
-    got = got.withColumn("text", decoded("rest")).withColumn("n_chars", F.length("text").cast("long"))
-    return got.select(*cols)
+    return back(got.withColumn("text", decoded("rest")).withColumn("n_chars", F.length("text").cast("long")))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

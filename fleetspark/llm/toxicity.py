@@ -14,15 +14,17 @@ the trie and a Levenshtein automaton of each term (edits allowed: 1 from 5
 letters on, 2 from 9 on; stems are matched without edits).  The product is
 determinised lazily: a state is the set of (trie node, edits left) and dies as
 soon as no term can be reached, mostly after two or three letters.  Results are
-kept per distinct word.
+kept per distinct word.  A word near a term that clean training texts use is a
+word of its own and no misspelling.
 
 Scoring.  A match counts as quoted if its context window of ``window`` words on
 either side holds quotation marks on both sides or a word that reports speech
 or talks about words; else as direct.  The features (exact, misspelt and stem
 matches, direct and quoted; matches per word; two matches near each other; any
-direct match) go
-through a logistic regression trained on the same rows.  Labels, lang, source
-and doc_id are never inputs of a score.
+direct match) go through a logistic regression without negative weights: a match
+never lowers a score.  It is trained on the same rows and on variants of them: a
+toxic text with its terms misspelt stays toxic, a clean text that reports a
+quoted term stays clean.  Labels, lang, source and doc_id are never inputs of a score.
 
 Result: a row per document with ``doc_id, held_out, score, predicted, n_terms``
 (matches in the text).  Null and empty texts have no matches and get the score
@@ -44,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, table, worker_table
+from .common import map_arrow, shielded, table, worker_table
 
 MAX_ROWS = 20_000
 MAX_TERMS = 5_000
@@ -66,7 +68,8 @@ MARKS = frozenset("\"'“”„«»‘’")
 class Matcher:
     """Words against the lexicon trie under bounded edits."""
 
-    def __init__(self, words: list[str], stems: list[str]):
+    def __init__(self, words: list[str], stems: list[str], known: frozenset[str] = frozenset()):
+        self.words, self.known = words, known
         self.kids: list[dict[str, int]] = [{}]
         self.word_edits: dict[int, int] = {}
         self.is_stem: set[int] = set()
@@ -162,7 +165,7 @@ class Matcher:
                 at = self._step(at, c) if at2 is None else at2
                 if at < 0:
                     break
-            if at >= 0:
+            if at >= 0 and (self.accept[at] == 3 or w not in self.known):
                 got = max(got, self.accept[at])
             if len(self.cache) >= 300_000:
                 self.cache.clear()
@@ -259,6 +262,63 @@ def learn_lexicon(train: DataFrame, n_pos: int, n_neg: int, max_terms: int = MAX
     return sorted(w for w in words if not any(w.startswith(s) for s in kept)), sorted(kept)
 
 
+def misspelt(text: str, m: Matcher) -> str:
+    """The text with one edit in each exact term that has room for one: a letter
+    is left out, doubled or exchanged for its neighbour, as a hash of the word says."""
+    def edit(x: re.Match) -> str:
+        w = x.group()
+        if len(w) < 5 or m.match(w.lower()) != 3:
+            return w
+        h = zlib.crc32(w.lower().encode())
+        i = 1 + h % (len(w) - 2)
+        return (w[:i] + w[i + 1:], w[:i] + w[i] + w[i:], w[:i] + ("x" if w[i] != "x" else "z") + w[i + 1:])[h // 7 % 3]
+    return LETTERS.sub(edit, text)
+
+
+def reported(text: str, term: str) -> str:
+    """The text with a sentence that quotes ``term``, in its middle."""
+    words = text.split(" ")
+    half = len(words) // 2
+    return " ".join([*words[:half], f'they said "{term}" and left.', *words[half:]])
+
+
+def variants(text: str, toxic: int, m: Matcher) -> list[tuple[int, str]]:
+    """``(label, text)`` of a labelled row and its variant."""
+    if toxic > 0:
+        other = misspelt(text, m)
+        return [(1, text)] + [(1, other)] * (other != text)
+    return [(0, text)] + ([(0, reported(text, m.words[zlib.crc32(text.encode("utf-8", "replace")) % len(m.words)]))] if m.words else [])
+
+
+def fit_positive(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """``fit_logistic`` with weights of at least 0: features whose weight would be
+    negative go out, the worst first, until none is left."""
+    w, on = np.zeros(x.shape[1]), np.ones(x.shape[1], bool)
+    while on.any():
+        part, b = fit_logistic(x[:, on], y)
+        if (part >= 0).all():
+            w[on] = part
+            return w, b
+        on[np.flatnonzero(on)[part.argmin()]] = False
+    return w, fit_logistic(x[:, :0], y)[1]
+
+
+def half(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "replace")) & 1
+
+
+def known_words(train: DataFrame, words: list[str], stems: list[str]) -> list[frozenset[str]]:
+    """Words of clean training texts that lie within the edits of a term: words of
+    their own, no misspellings.  One set for each ``half`` of the texts.  At most the sample's words near a term."""
+    def near(b: pa.RecordBatch) -> list[tuple]:
+        m = matcher(words, stems)
+        seen = {(w, half(t)) for t in b.column("text").to_pylist() for w in set(LETTERS.findall(t.lower()))}
+        return [(w, h) for w, h in seen if m.match(w) == 1]
+
+    got = map_arrow(train.where("toxic = 0"), near, "word string, half int").distinct().collect()
+    return [frozenset(r.word for r in got if r.half == h) for h in (0, 1)]
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 60) -> tuple[np.ndarray, float]:
     """Newton steps for a small dense logistic regression; the intercept is not penalised."""
     a = np.hstack([x, np.ones((len(x), 1))])
@@ -279,8 +339,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 60
 class ToxicityModel:
     """Lexicon and weights; small, sent to the tasks with the function that uses it."""
 
-    def __init__(self, words, stems, w, b):
-        self.words, self.stems, self.w, self.b = words, stems, np.asarray(w), b
+    def __init__(self, words, stems, w, b, known=frozenset()):
+        self.words, self.stems, self.w, self.b, self.known = words, stems, np.asarray(w), b, known
 
     def score(self, feats: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(feats @ self.w + self.b, -30, 30)))
@@ -289,12 +349,13 @@ class ToxicityModel:
 _MATCHERS: dict[tuple, Matcher] = worker_table(__name__)
 
 
-def matcher(words: list[str], stems: list[str]) -> Matcher:
-    """One matcher per worker process and lexicon."""
-    key = (tuple(words), tuple(stems))
+def matcher(words: list[str], stems: list[str], known: frozenset[str] = frozenset()) -> Matcher:
+    """The matchers of a worker process, two at most."""
+    key = (tuple(words), tuple(stems), known)
     if key not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[key] = Matcher(words, stems)
+        if len(_MATCHERS) > 1:
+            _MATCHERS.clear()
+        _MATCHERS[key] = Matcher(words, stems, known)
     return _MATCHERS[key]
 
 
@@ -306,17 +367,20 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxic
         share = n_pos / (n_pos + n_neg) if n_pos + n_neg else 0.0
         return ToxicityModel([], [], np.zeros(len(FEATURES)), 30.0 if share > 0 else -30.0)
     words, stems = learn_lexicon(rows, n_pos, n_neg)
+    known = known_words(rows, words, stems)
 
     def feats(b: pa.RecordBatch) -> list[tuple]:
-        m = matcher(words, stems)
-        return [(y, text_features(t, m)[0]) for t, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist())]
+        # a text is read with the words known from the other half, as new texts are
+        by = [matcher(words, stems, known[1]), matcher(words, stems, known[0])]
+        return [(y, text_features(v, by[half(t)])[0]) for t, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist())
+                for y, v in variants(t, label, by[half(t)])]
 
-    got = map_arrow(rows, feats, "y int, f array<double>").groupBy("y", "f").count().collect()  # max_rows short rows at most
+    got = map_arrow(rows, feats, "y int, f array<double>").groupBy("y", "f").count().collect()  # 2 max_rows short rows at most
     x = np.array([r.f for r in got], dtype=float)
     y = np.array([float(r.y > 0) for r in got])
     n = np.array([r["count"] for r in got])
-    w, b = fit_logistic(np.repeat(x, n, axis=0), np.repeat(y, n))
-    return ToxicityModel(words, stems, w, b)
+    w, b = fit_positive(np.repeat(x, n, axis=0), np.repeat(y, n))
+    return ToxicityModel(words, stems, w, b, known[0] | known[1])
 
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None) -> DataFrame:
@@ -326,7 +390,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None)
     ddl = ", ".join(f"k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
 
     def run(b: pa.RecordBatch) -> list:
-        m = matcher(model.words, model.stems)
+        m = matcher(model.words, model.stems, model.known)
         got = [text_features(t, m) for t in b.column("_t").to_pylist()]
         s = model.score(np.array([g[0] for g in got], dtype=float))
         return [*(b.column(f"k{i}") for i in range(len(keep))), s, [g[1] for g in got]]
@@ -344,5 +408,5 @@ def op8(spark, sf_dir: str) -> DataFrame:
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pipeline form: documents scored 0.5 or more go; the others keep all their columns."""
-    cols = docs.columns
-    return score(docs, train(docs, labels), cols + []).where("predicted = 0").select(*cols)
+    d, back = shielded(docs)
+    return back(score(d, train(d, labels), d.columns).where("predicted = 0"))

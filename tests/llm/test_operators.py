@@ -129,6 +129,17 @@ def test_html_nested_layouts(spark, page):
     assert [r.text for r in html_extract.extract_pages(df).collect()] == [f"T\n{body}"] * 2
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<article><header><h1>T</h1><p>By A. Nother</p><nav><h2>In this part</h2></nav></header><p>{b}</p></article>", "T"),
+    ("<div class=post><div class=post-header><div><h1>T</h1></div><span>1 May</span></div><p>{b}</p></div>", "T"),
+    ("<main><header class='article-header share'><h1>gone</h1></header><h1>T</h1><p>{b}</p></main>", "T"),
+    ("<header><h1>Site</h1></header><article><h1>T</h1><p>{b}</p><footer><h2>gone</h2></footer></article>", "T"),
+    ("<article><header hidden><h1>gone</h1></header><h1>T</h1><p>{b}</p></article>", "T")])
+def test_html_headings_of_an_articles_own_header(page, text):
+    body = "word " * 200 + "end"
+    assert html_extract.extract(f"<html><body>{page.format(b=body)}</body></html>", None)[0] == f"{text}\n{body}"
+
+
 def test_html_formulas_stay():
     page = "<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds</article>"
     assert html_extract.extract(page, None)[0] == "so x=1 holds"
@@ -294,6 +305,58 @@ def test_toxicity_held_out(spark):
     assert (p.predicted[p.toxic == 0] == 0).mean() > 0.98 and ((p.predicted == p.toxic)[p.held_out]).mean() > 0.9
 
 
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    held = docs.join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).toPandas()
+    return toxicity.train(docs, labels), held
+
+
+def scores(model, texts):
+    m = toxicity.Matcher(model.words, model.stems, model.known)
+    return model.score(np.array([toxicity.text_features(t or "", m)[0] for t in texts]))
+
+
+def test_toxicity_finds_held_out_rows_and_spares_clean_ones(toxic_model):
+    model, held = toxic_model
+    s = scores(model, held.text)
+    assert (s[held.toxic == 1] >= 0.5).mean() > 0.9 and (s[held.toxic == 0] >= 0.5).mean() < 0.005
+
+
+def test_a_match_never_lowers_a_score(toxic_model):
+    model, held = toxic_model
+    assert (model.w >= 0).all() and model.w[toxicity.FEATURES.index("fuzzy_direct")] > 0
+    clean = [t for t, y in zip(held.text, held.toxic) if not y and t][:60]
+    plain, wrong, exact = (scores(model, [f"{t} {x}" for t in clean]) for x in ("you are a", "you are a worthles", "you are a worthless"))
+    assert (wrong > plain).all() and (exact > plain).all()
+    assert scores(model, ['they said "idiot" and left'])[0] < scores(model, ["you are an idiott"])[0] < scores(model, ["you are an idiot"])[0]
+
+
+def test_misspelt_terms_are_found_through_the_automaton(toxic_model):
+    """Ablation: toxic held-out texts with misspelt terms, with and without the weights of misspelt matches."""
+    model, held = toxic_model
+    m = toxicity.Matcher(model.words, model.stems)
+    texts = [toxicity.misspelt(t, m) for t, y in zip(held.text, held.toxic) if y]
+    blind = toxicity.ToxicityModel(model.words, model.stems, np.where(np.char.startswith(toxicity.FEATURES, "fuzzy"), 0, model.w), model.b, model.known)
+    blind.w[toxicity.FEATURES.index("density")] = blind.w[toxicity.FEATURES.index("near")] = 0
+    found, without = (float((scores(x, texts) >= 0.5).mean()) for x in (model, blind))
+    assert found > 0.6 and found > without + 0.3, (found, without)
+
+
+def test_toxicity_automaton_starts_anew():
+    words = ["worthless", "idiot", "stupid"]
+    small, large = toxicity.Matcher(words, []), toxicity.Matcher(words, [])
+    rng = np.random.default_rng(0)
+    tries = ["".join(rng.choice(list("wortheslidup"), 7)) for _ in range(400)] + words + ["idot", "stupidd", "worthles"]
+    old, toxicity.MAX_STATES = toxicity.MAX_STATES, 30
+    try:
+        got = [small.match(w) for w in tries]
+    finally:
+        toxicity.MAX_STATES = old
+    assert got == [large.match(w) for w in tries] and len(small.moves) < len(large.moves)
+
+
 def test_quality(spark, odd):
     t = "a b c a b c\nx\nx\n \n#*"
     assert quality.base_counts(t, t.split()) == (9, 10, 2, 1, 6)
