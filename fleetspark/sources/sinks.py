@@ -20,6 +20,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jp, True)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether some file or folder has a name like ``pattern``."""
+    jp, fs = _path(spark, pattern)
+    return bool(fs.globStatus(jp))
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """One stage table per call, overwritten as a whole (a table that is
     also read is a versioned one)."""

@@ -186,3 +186,18 @@ def test_projection_against_another_series(spark):
     got = {(r.lon, r.lat): (r.x, r.y) for r in df.select("lon", "lat", x.alias("x"), y.alias("y")).collect()}
     for p in points:
         assert got[p] == pytest.approx(redfearn(*p), abs=2e-3)
+
+
+def test_close_pairs_follow_the_stops_where_loaders_stand_apart(spark):
+    """Ten times the stops and loaders give ten times the pairs, not a hundred times."""
+    def pairs(n: int) -> int:
+        stops = spark.range(n * 20).selectExpr(
+            "concat('Dump', id) vehicle", "date'2026-01-01' date_dpr", "'A' shift_dpr", "id * 200000000 start_us", "id * 200000000 + 60000000 end_us",
+            "id start_pid", "id run_us", "id run_pid", f"500000D + (id % {n}) * 400 d_utm_x", "2600000D d_utm_y", "600D d_alt", "'mine001' mine_anon", "60D dur_sec",
+            "id * 400000000 + 60000000 mid2_us")
+        loaders = spark.range(n).crossJoin(spark.range(n * 20).withColumnRenamed("id", "k")).selectExpr(
+            "concat('Exc', id) l_id", "k * 200000000 + 30000000 ts_us", "k ping_id", "500000D + id * 400 l_x", "2600000D l_y", "600D l_alt")
+        found = close_pairs(stops, loaders, P)
+        assert nearest_loaders(found, loaders, P).count() == n * 20
+        return found.count()
+    assert pairs(30) == 10 * pairs(3)
