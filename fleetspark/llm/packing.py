@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import insort
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,30 +29,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stored, table, text_of
+from .common import map_arrow, stored, stream_arrow, table, text_of
 from .tokens import default_vocabulary, encoder
 
 MAX_LEN = 2048
-BUCKETS = 256
+#: Pieces of one length that a task ranks, on average.
+BUCKET_ROWS = 50_000
 
 
 def pieces(docs: DataFrame, vocabulary: str, max_len: int = MAX_LEN, with_ids: bool = False) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens`` and, on request, ``ids``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(b: pa.RecordBatch) -> list[tuple]:
-        enc, out = encoder(vocabulary), []
-        keys = b.column("doc_id").to_pylist()
-        for i, x in zip(keys, enc.ids(b.column("text").to_pylist())):
-            n = len(x) // 4
-            for s in range(0, n, max_len):
-                part = x[4 * s:4 * (s + max_len)]
-                row = (i, s, len(part) // 4, zlib.crc32(part), n)
-                out.append((*row, np.frombuffer(part, "<u4").tolist()) if with_ids else row)
-        return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        for b in batches:
+            for lo, hi, ids, offsets in encoder(vocabulary).batches(b.column("text")):
+                doc, start, length = cut_ids(offsets, max_len)
+                at = offsets[doc] + start
+                raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                crc = [zlib.crc32(raw[4 * x:4 * (x + n)]) for x, n in zip(at.tolist(), length.tolist())]
+                cols = [b.column("doc_id").slice(lo, hi - lo).take(pa.array(doc)), start, length, crc, np.diff(offsets)[doc]]
+                if with_ids:  # pieces lie one after another
+                    cols.append(pa.LargeListArray.from_arrays(np.append(at, len(ids)), ids.astype(np.int64)).cast(pa.list_(pa.int64())))
+                yield cols
 
     ddl = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * with_ids
-    return map_arrow(docs.select("doc_id", text_of().alias("text")), run, ddl)
+    return stream_arrow(docs.select("doc_id", text_of().alias("text")), run, ddl)
+
+
+def cut_ids(offsets: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(text, start, length)`` of the pieces of at most ``most`` ids, in order."""
+    n = np.diff(offsets)
+    count = -(-n // most)
+    doc = np.repeat(np.arange(len(n)), count)
+    start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * most
+    return doc, start, np.minimum(most, n[doc] - start)
 
 
 def shortest_pack_first(histogram: dict[int, int], max_len: int = MAX_LEN) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -116,8 +128,8 @@ def slots(patterns: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.nda
     return {k: np.array(v, dtype=np.int64) for k, v in out.items()}
 
 
-def ranked(p: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``rank``: 0, 1, ... among the pieces of a length."""
+def ranked(p: DataFrame, buckets: int) -> DataFrame:
+    """``rank``: 0, 1, ... among the pieces of a length; ``buckets`` grow with the most frequent length."""
     p = p.withColumn("_b", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)).cast("int"))
     counts = p.groupBy("length", "_b").agg(F.count("*").alias("_n"))
     w = W.partitionBy("length").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
@@ -146,7 +158,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, max_len: int = MAX_LEN,
         return [*(b.column(c) for c in cols), seq, off]
 
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in p.schema)
-    return map_arrow(ranked(p), place, f"{ddl}, sequence_id long, offset long")
+    return map_arrow(ranked(p, 1 + max(histogram.values(), default=0) // BUCKET_ROWS), place, f"{ddl}, sequence_id long, offset long")
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
