@@ -9,7 +9,7 @@ permutation, and range partitions of the slots write fixed-stride shards.
 3. slot = a keyed Feistel permutation of the number over the smallest domain
    4^k >= n, walking its cycle until it falls below n: a bijection of 0 .. n-1
    that needs no table.
-4. Slots are range-partitioned into shards of ``per_shard`` slots.  A shard is one
+4. Ranges of ``per_shard`` slots are partitions, and each writes a shard.  A shard is one
    file by Spark's text writer, a record and a line feed at a time, so every
    record takes ``stride`` bytes: slot s lies at byte ``(s % per_shard) * stride``
    of shard ``s // per_shard``.  ``read_slots`` resumes at any slot and reads on in order.
@@ -32,11 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.sinks import matches
 from .common import map_arrow, shared_folder, small, stored, stream_arrow, table, text_of
+from .packing import cut_ids
 from .tokens import default_vocabulary, encoder
 
 SEQ_LEN = 256
-PER_SHARD = 8192
+#: Records of a shard, 135 MB at 256 ids each.
+PER_SHARD = 262_144
 KEY = 0x5EED
 ROUNDS = 6
 
@@ -50,19 +53,25 @@ def records(docs: DataFrame, vocabulary: str, seq_len: int) -> DataFrame:
     """``doc_id, start, length, ids_crc32, part, pos, record``: record ``pos`` of input partition ``part``, not padded yet."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         part, pos = TaskContext.get().partitionId(), 0
         for b in batches:
-            out = []
-            for i, x in zip(b.column("doc_id").to_pylist(), encoder(vocabulary).ids(b.column("text").to_pylist())):
-                ids = np.frombuffer(x, "<u4")
-                if ids.max() > 0xFFFF:
+            for lo, hi, ids, offsets in encoder(vocabulary).batches(b.column("text")):
+                if len(ids) and ids.max() > 0xFFFF:
                     raise ValueError("records hold ids of 16 bits")
-                for s in range(0, len(ids), seq_len):
-                    one = ids[s:s + seq_len]
-                    out.append((i, s, len(one), zlib.crc32(one.tobytes()), part, pos, len(one).to_bytes(2, "little") + one.astype("<u2").tobytes()))
-                    pos += 1
-            yield out
+                doc, start, length = cut_ids(offsets, seq_len)
+                at = offsets[doc] + start
+                raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                crc = [zlib.crc32(raw[4 * x:4 * (x + n)]) for x, n in zip(at.tolist(), length.tolist())]
+                # every sequence's length, then its ids
+                body = np.empty(len(ids) + len(at), "<u2")
+                head = at + np.arange(len(at))
+                body[head] = length
+                body[np.arange(len(ids)) + np.repeat(np.arange(len(at)), length) + 1] = ids
+                record = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(2 * head, 2 * len(body))), pa.py_buffer(body)])
+                yield [b.column("doc_id").slice(lo, hi - lo).take(pa.array(doc)), start, length, crc, np.full(len(at), part),
+                       np.arange(pos, pos + len(at)), record]
+                pos += len(at)
 
     return stream_arrow(docs.select("doc_id", text_of().alias("text")), run,
                         f"doc_id {kind}, start long, length long, ids_crc32 long, part int, pos long, record binary")
@@ -121,15 +130,52 @@ def materialise(docs: DataFrame, path: str, vocabulary: str | None = None, seq_l
         F.sum("count").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
     numbered = rec.join(small(base), F.col("part") == F.col("_p")).withColumn("sequence", F.col("_base") + F.col("pos")).drop("_p", "_base", "part", "pos")
     slot = _slots(n, key)
-    ordered = numbered.select("record", slot(F.col("sequence")).alias("slot")).withColumn("shard", F.expr(f"slot div {per_shard}"))
+    # a slot names its shard, and the shard its partition: nothing is sampled
     shards = max(1, -(-n // per_shard))
-    lines = (ordered.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot")
-             .select("shard", F.rpad("record", stride(seq_len) - 1, b"\0").cast("string").alias("value")))
+    sent = bundles(numbered.select("sequence", "record"), n, per_shard, key).repartitionById(shards, "shard")
+    lines = unbundled(sent, seq_len).sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
     lines.write.partitionBy("shard").option("compression", "none").text(path)
     return (numbered.drop("record").withColumn("slot", slot(F.col("sequence"))).withColumn("shard", F.expr(f"slot div {per_shard}"))
             .withColumn("byte_offset", F.expr(f"slot % {per_shard} * {stride(seq_len)}")))
 
 
+def bundles(numbered: DataFrame, n: int, per_shard: int, key: int) -> DataFrame:
+    """``shard, records``: the records of an Arrow batch that go to one shard, with their slots, compressed together."""
+    def run(b: pa.RecordBatch) -> list[tuple]:
+        slots = feistel_array(b.column("sequence").to_numpy(), n, key)
+        by = np.argsort(slots, kind="stable")
+        slots, records = slots[by], b.column("record").take(pa.array(by)).cast(pa.large_binary()).to_pylist()
+        first = np.flatnonzero(np.diff(slots // per_shard, prepend=-1)).tolist()
+        out = []
+        for lo, hi in zip(first, [*first[1:], len(slots)]):
+            size = np.array([len(r) for r in records[lo:hi]], np.int32)
+            raw = b"".join([(hi - lo).to_bytes(8, "little"), slots[lo:hi].tobytes(), size.tobytes(), *records[lo:hi]])
+            out.append((int(slots[lo] // per_shard), len(raw).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(raw, asbytes=True)))
+        return out
+
+    return map_arrow(numbered, run, "shard int, records binary")
+
+
+def unbundled(sent: DataFrame, seq_len: int) -> DataFrame:
+    """``shard, slot, record``: the records, padded with zeros to one size."""
+    width = stride(seq_len) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        for b in batches:
+            for shard, z in zip(b.column("shard").to_pylist(), b.column("records").to_pylist()):
+                raw = pa.Codec("zstd").decompress(z[8:], int.from_bytes(z[:8], "little"), asbytes=True)
+                n = int.from_bytes(raw[:8], "little")
+                slots = np.frombuffer(raw, np.int64, n, 8)
+                size = np.frombuffer(raw, np.int32, n, 8 + 8 * n).astype(np.int64)
+                out = np.zeros(n * width, np.uint8)
+                at = np.repeat(np.arange(n) * width - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+                out[at] = np.frombuffer(raw, np.uint8, offset=8 + 12 * n)
+                body = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.arange(n + 1) * width), pa.py_buffer(out)])
+                yield [np.full(n, shard, np.int32), slots, body]
+
+    return stream_arrow(sent, run, "shard int, slot long, record binary")
+
+
 def _slots(n: int, key: int):
     """``feistel_array`` as an Arrow-batched function of a column."""
     @F.arrow_udf("long")
@@ -141,6 +187,8 @@ def _slots(n: int, key: int):
 def read_slots(spark: SparkSession, path: str, first: int, count: int, seq_len: int = SEQ_LEN, per_shard: int = PER_SHARD) -> DataFrame:
     """``slot, ids`` of ``count`` slots from ``first`` on: only the shards of the range are read, each row by its byte offset."""
     size, last = stride(seq_len), first + count - 1
+    if not matches(spark, path + "/shard=*"):  # nothing was written
+        return spark.createDataFrame([], "slot long, ids array<int>")
     files = spark.read.format("binaryFile").option("basePath", path).load(path + "/shard=*")
     f = files.where(F.col("shard").between(first // per_shard, last // per_shard))
     f = f.select(F.col("shard").cast("long").alias("shard"), "content", F.expr(f"explode(sequence(0L, length div {size} - 1))").alias("k"))
