@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, running_start, small, table, text_of
+from .common import WORD, running_start, shielded, small, table, text_of
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -36,11 +36,12 @@ BLOCKS_PER_SHARD = 64
 
 
 def word_sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size, _key``; the md5 key orders a source's line."""
+    """``doc_id, source, size, _key, _row, copies``: equal rows as one with their number.  The
+    md5 key orders a source's line; documents without an id are spread by their text."""
+    own = F.coalesce(F.col("doc_id").cast("string"), F.md5(text_of().cast("binary")))
     return docs.select("doc_id", "source", F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"),
-                       F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                                         F.coalesce("source", F.lit("")))).alias("_key"),
-                       F.xxhash64("text").alias("_tie"))
+                       F.md5(F.concat_ws("|", own, F.coalesce("source", F.lit(""))).cast("binary")).alias("_key"),
+                       F.xxhash64(*docs.columns).alias("_row")).groupBy("doc_id", "source", "size", "_key", "_row").agg(F.count("*").alias("copies"))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -49,7 +50,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
     Sharing the excess again until none is above ends at a common level v with
     target = min(cap, v * weight): sources below their cap are those whose
     cap / weight exceeds v, found by one ordered pass over the sources."""
-    s = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    s = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     pos = F.row_number().over(W.orderBy(F.col("source").isNull(), F.col("source"))) - 1
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (pos % len(weights) + 1).cast("int"))
     s = s.withColumn("weight", w).withColumn("cap", (F.col("source_size") * max_repeat).cast("double"))
@@ -116,10 +117,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, shards:
     a shard is read in the order of ``shard_key``.  ``shards`` is a power of two."""
     sizes = word_sizes(docs).checkpoint()
     targets = source_targets(sizes, weights, max_repeat).checkpoint()
-    line = running_start(sizes, ["source"], [F.col("_key"), F.col("doc_id"), F.col("_tie")], F.substring("_key", 1, 3),
-                         F.col("size"), "start")
+    line = running_start(sizes, ["source"], [F.col("_key"), F.col("doc_id"), F.col("_row")], F.substring("_key", 1, 3),
+                         F.col("size") * F.col("copies"), "start")
+    line = line.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    line = line.withColumn("start", F.col("start") + F.col("_i") * F.col("size")).drop("_i", "copies")
     placed = line.join(small(targets).withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    placed = placed.withColumn("stream", F.round("target").cast("long")).drop("_key", "_tie").checkpoint()
+    placed = placed.withColumn("stream", F.round("target").cast("long")).drop("_key").checkpoint()
 
     words = targets.agg(F.sum("source_size")).first()[0] or 0
     width = max(1, -(-words // (shards * blocks_per_shard)))
@@ -149,23 +152,44 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, shards:
 
 
 def taken(docs: DataFrame, **kw) -> DataFrame:
-    """``doc_id, size, source_size, target, taken``: the words that the segments take of each document.
+    """``doc_id, size, source_size, target, taken``: the words that the segments take of each document."""
+    return _taken(docs, **kw).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _taken(docs: DataFrame, **kw) -> DataFrame:
+    """``taken`` with ``source`` and the hash ``_row`` of the row.
     A document with words is told from others of its source by its place on the line."""
     placed, segments = mix(docs, **kw)
     got = segments.groupBy(F.col("source").alias("_s"), F.col("start").alias("_p")).agg(F.sum("n_words").alias("_n"))
     j = placed.join(got, F.col("source").eqNullSafe(F.col("_s")) & (F.col("start") == F.col("_p")), "left")
-    return j.select("doc_id", "size", "source_size", "target",
+    return j.select("doc_id", "source", "_row", "size", "source_size", "target",
                     F.when(F.col("size") > 0, F.coalesce("_n", F.lit(0))).otherwise(0).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
     """Pipeline form: each document as often as the mix takes it, ``round(taken / size)`` whole copies.
     Documents without a word have nothing to mix and leave."""
-    cols = docs.columns
-    t = taken(docs, **kw).select(F.col("doc_id").alias("_d"), F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size")).cast("int")).otherwise(0).alias("_c"))
-    t = t.where("_c > 0").groupBy("_d").agg(F.max("_c").alias("_c"))
-    return (docs.where(F.regexp_count(text_of(), F.lit(WORD)) > 0).join(t, F.col("doc_id").eqNullSafe(F.col("_d")))
-            .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_c")))).select(*cols))
+    d, back = shielded(docs, ("doc_id", "text", "source"))
+    copies = F.round(F.col("taken") / F.col("size")).cast("long")
+    # rows equal in every column are one row with the copies of all
+    t = _taken(d, **kw).where("size > 0").groupBy(F.col("_row").alias("_r")).agg(F.sum(copies).alias("_c")).where("_c > 0")
+    once = d.withColumn("_r", F.xxhash64(*d.columns)).groupBy("_r").agg(*[F.first(c).alias(c) for c in d.columns])
+    return back(once.join(t, "_r").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c")))))
+
+
+def write_shards(docs: DataFrame, path: str, **kw) -> DataFrame:
+    """Write the mix below ``path``, a folder ``shard=K`` each, its runs of words in the order of
+    ``shard_key``; returns the segments.  A run is words ``from_word`` to ``from_word + n_words`` of its text, joined by spaces."""
+    d, _ = shielded(docs, ("doc_id", "text", "source"))
+    placed, segments = mix(d, **kw)
+    place = placed.where("size > 0").select(F.col("source").alias("_s"), F.col("start").alias("_p"), F.col("_row").alias("_r"))
+    texts = d.withColumn("_r", F.xxhash64(*d.columns)).groupBy("_r").agg(F.first("text").alias("text"))
+    rows = segments.join(place, F.col("source").eqNullSafe(F.col("_s")) & (F.col("start") == F.col("_p"))).join(texts, "_r")
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
+    rows = rows.select("shard", "shard_key", "doc_id", "source", "epoch", "from_word", "n_words",
+                       F.array_join(F.slice(words, (F.col("from_word") + 1).cast("int"), F.col("n_words").cast("int")), " ").alias("text"))
+    rows.repartition("shard").sortWithinPartitions("shard", "shard_key", "doc_id", "epoch", "from_word").write.partitionBy("shard").parquet(path)
+    return segments
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
@@ -174,7 +198,7 @@ def op10(spark, sf_dir: str) -> DataFrame:
 
 SQL10 = r"""
 with d as (select doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) :: bigint size,
-           md5(coalesce(doc_id :: varchar, '') || '|' || coalesce(source, '')) k from documents),
+           md5(coalesce(doc_id :: varchar, md5(coalesce(text, ''))) || '|' || coalesce(source, '')) k from documents),
  s0 as (select source, sum(size) :: bigint source_size from d group by source),
  s1 as (select *, [5.0, 2.0, 1.0][((row_number() over (order by source is null, source) - 1) % 3 + 1) :: int] :: double w,
                (3 * source_size) :: double cap from s0),
