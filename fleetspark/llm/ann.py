@@ -10,13 +10,15 @@
    classes (in blocks), and the number of leaf visits doubles until at least
    ``TARGET`` of them lie in visited leaves; with all leaves the search is exact.
    Every query also goes on until its leaves hold enough classes.
-5. Queries meet the vectors of a leaf in chunks of bounded size; distances are
-   Euclidean in double precision on the original vectors.
+5. Queries meet the vectors of a leaf in chunks of at most ``CHUNK`` on average.  A chunk of
+   more than ``SUBTREE`` vectors that many queries visit gets a tree of its own, fitted on all its
+   vectors inside the task and calibrated to ``SUB_TARGET`` on its first queries, so the work of a
+   query does not grow with the leaf.  Distances are Euclidean in double precision on the original vectors.
 
 Result: ``query_id, rank, vec_id, score``, nearest first, ties to the smaller vec_id.
 Vectors that are null, empty, zero or hold null or non-finite components take no
 part, nor do rows with a null vec_id or with another dimension than most rows have.
-Repeated rows (same id and vector) count once.  Empty tables and tables without
+Ids are integers.  Repeated rows (same id and vector) count once.  Empty tables and tables without
 a query give no rows; with fewer candidates all of them are returned.  Extra
 columns are ignored."""
 
@@ -38,7 +40,10 @@ LEAF = 64
 BRANCH = 8
 CALIBRATION = 64
 TARGET = 0.97
-CHUNK = 4096
+CHUNK = 16_384
+SUBTREE = 2048
+SUB_TARGET = 0.995
+SUB_CALIBRATION = 32
 
 
 class Tree:
@@ -179,12 +184,12 @@ def search(df: DataFrame, is_query, k: int = 10, target: float = TARGET) -> Data
     def near(_, q: pa.Table, x: pa.Table) -> pa.Table:
         rows: list[list] = [[], [], [], []]
         if q.num_rows and x.num_rows:
-            m = _matrix(x.combine_chunks().to_batches()[0])
+            # in a fixed order, so that a tree over them is the same in every run
+            x, q = (t.sort_by([("h1", "ascending"), ("h2", "ascending")]).combine_chunks() for t in (x, q))
             owners = x.column("ids").to_pylist()
-            for h1, h2, v in zip(q.column("h1").to_pylist(), q.column("h2").to_pylist(), q.column("v").to_pylist()):
-                dist = np.sqrt(((m - np.array(v)) ** 2).sum(1))
-                cut = np.partition(dist, k)[k] if len(dist) > k + 1 else np.inf
-                best = sorted((float(dist[i]), o) for i in np.flatnonzero(dist <= cut) for o in owners[i])[:k + 1]
+            found = nearest_in(_matrix(x.to_batches()[0]), _matrix(q.to_batches()[0]), k + 1)
+            for h1, h2, (at, dist) in zip(q.column("h1").to_pylist(), q.column("h2").to_pylist(), found):
+                best = sorted((float(d), o) for i, d in zip(at.tolist(), dist.tolist()) for o in owners[i])[:k + 1]
                 for col, val in zip(rows, ([h1] * len(best), [h2] * len(best), [b[1] for b in best], [b[0] for b in best])):
                     col += val
         return pa.table([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))], names=["h1", "h2", "vec_id", "score"])
@@ -198,6 +203,46 @@ def search(df: DataFrame, is_query, k: int = 10, target: float = TARGET) -> Data
     return out.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("n.vec_id").alias("vec_id"), F.col("n.score").alias("score"))
 
 
+def visits_needed(orders: list[list[int]], leaves: np.ndarray, target: float) -> int:
+    """Leaf visits, doubled until ``target`` of the neighbours lie in visited leaves.  ``orders``: the leaves of each
+    query in the order of their visits; ``leaves``: rows (query, leaf) of the true neighbours."""
+    place = [{leaf: p for p, leaf in enumerate(o)} for o in orders]
+    at = np.array([place[q][leaf] for q, leaf in leaves.tolist()])
+    n, most = 1, max(map(len, orders), default=1)
+    while n < most and (at < n).mean() < target:
+        n *= 2
+    return min(n, most)
+
+
+def nearest_in(m: np.ndarray, queries: np.ndarray, k: int, subtree: int = SUBTREE) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query the places of its k nearest rows of ``m`` and of those as near as the last, with their distances."""
+    def scan(q: np.ndarray, rows: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        dist = np.sqrt((((m if rows is None else m[rows]) - q) ** 2).sum(1))
+        cut = np.partition(dist, k - 1)[k - 1] if len(dist) > k else np.inf
+        near = np.flatnonzero(dist <= cut)
+        return (near if rows is None else rows[near]), dist[near]
+
+    if len(m) <= subtree or len(queries) <= 2 * SUB_CALIBRATION:
+        return [scan(q, None) for q in queries]
+    tree = Tree(m, max_leaves=max(BRANCH, len(m) // LEAF), leaf=LEAF)
+    leaf = tree.assign(m)
+    by = np.argsort(leaf, kind="stable")
+    start = np.searchsorted(leaf[by], np.arange(tree.leaves + 1))
+    first = [scan(q, None) for q in queries[:SUB_CALIBRATION]]
+    true = np.array([(i, leaf[j]) for i, (near, _) in enumerate(first) for j in near])
+    n = visits_needed([list(tree.visits(q)) for q in queries[:SUB_CALIBRATION]], true, SUB_TARGET)
+    out = list(first)
+    for q in queries[SUB_CALIBRATION:]:
+        rows, seen, got = [], 0, 0
+        for x in tree.visits(q):
+            if seen >= n and got >= k:
+                break
+            rows.append(by[start[x]:start[x + 1]])
+            seen, got = seen + 1, got + len(rows[-1])
+        out.append(scan(q, np.concatenate(rows)))
+    return out
+
+
 def calibrate(asked: DataFrame, dealt: DataFrame, tree: Tree, k: int, target: float) -> int:
     """The number of leaf visits, doubled until ``target`` of the true neighbours of ``CALIBRATION`` queries lie in visited leaves."""
     sample = [np.array(r.v) for r in asked.orderBy(F.xxhash64("h1", F.lit(3)), "h1", "h2").limit(CALIBRATION).select("v").collect()]
@@ -215,12 +260,7 @@ def calibrate(asked: DataFrame, dealt: DataFrame, tree: Tree, k: int, target: fl
     near = map_arrow(dealt.select("leaf", "v"), best, "q int, d double, leaf long")
     w = W.partitionBy("q").orderBy("d", "leaf")
     rows = near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k + 1).select("q", "leaf").collect()
-    order = [{leaf: p for p, leaf in enumerate(tree.visits(q))} for q in sample]
-    at = np.array([order[r.q][r.leaf] for r in rows])
-    n = 1
-    while n < tree.leaves and (at < n).mean() < target:
-        n *= 2
-    return min(n, tree.leaves)
+    return visits_needed([list(tree.visits(q)) for q in sample], np.array([(r.q, r.leaf) for r in rows]), target)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
