@@ -35,6 +35,29 @@ def docs(spark):
     return spark.read.parquet(f"{SF_SMALL}/documents.parquet")
 
 
+def test_trees_inside_leaves():
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 16)) * 3
+    m = centres[rng.integers(0, 40, 5000)] + rng.normal(size=(5000, 16))
+    queries = centres[rng.integers(0, 40, 300)] + rng.normal(size=(300, 16))
+    exact = ann.nearest_in(m, queries, 11, subtree=10_000)
+    for q, (at, dist) in zip(queries, exact):
+        d = np.sqrt(((m - q) ** 2).sum(1))
+        assert sorted(at) == sorted(np.argsort(d)[:11]) and np.allclose(sorted(dist), np.sort(d)[:11])
+    seen, real = [], ann.Tree.visits
+    ann.Tree.visits = lambda self, q: (seen.append(x) or x for x in real(self, q))
+    try:
+        found = ann.nearest_in(m, queries, 11, subtree=1000)
+    finally:
+        ann.Tree.visits = real
+    hit = sum(len(set(a) & set(b)) for (a, _), (b, _) in zip(exact, found))
+    assert hit >= 0.97 * 11 * len(queries)
+    leaves = ann.Tree(m, max_leaves=5000 // ann.LEAF, leaf=ann.LEAF).leaves
+    assert len(seen) < 0.8 * leaves * len(queries)
+    few = ann.nearest_in(np.ones((3, 4)), np.ones((200, 4)), 11, subtree=1)
+    assert all(sorted(at) == [0, 1, 2] for at, _ in few)
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_sql(spark, name):
     r = compare(QUERIES[name](spark, SF_SMALL), SQL[name], duck(SF_SMALL))
@@ -80,6 +103,12 @@ def test_training_order_round_trip(spark, odd):
     assert all(zlib.crc32(np.array(ids, "<u4").tobytes()) == index.ids_crc32[k] for k, ids in got.items())
 
 
+def test_slots_of_nothing(spark, odd):
+    path = shared_folder(spark, "test-none")
+    materialise.materialise(odd.where("false"), path)
+    assert materialise.read_slots(spark, path, 0, 10).isEmpty()
+
+
 def test_tree_search_against_brute_force(spark):
     df = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
