@@ -169,10 +169,9 @@ SMALL_BYTES = 16 << 20
 
 def few(df: DataFrame) -> bool:
     """Whether the rows of ``df`` are few and short enough to be sent to every task."""
-    first = df.limit(SMALL_ROWS + 1)
     long = [F.length(f.name) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     size = sum([F.coalesce(x, F.lit(0)) for x in long], F.lit(16 * len(df.columns)))
-    n, total = first.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    n, total = df.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
     return n <= SMALL_ROWS and (total or 0) <= SMALL_BYTES
 
 
