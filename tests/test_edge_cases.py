@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetspark.functions.geo import point_in_polygons
-from fleetspark.operators.asof import asof_nearest, close_pairs, nearest_loaders
+from fleetspark.operators.asof import asof_nearest, close_pairs, closest_loaders, confirmed_loads, nearest_loaders
 from fleetspark.operators.clean import clean_haulers
 from fleetspark.operators.marks import event_bins, mark_pings
 from fleetspark.operators.pings import ping_pass
@@ -201,3 +201,50 @@ def test_close_pairs_follow_the_stops_where_loaders_stand_apart(spark):
         assert nearest_loaders(found, loaders, P).count() == n * 20
         return found.count()
     assert pairs(30) == 10 * pairs(3)
+
+
+def _crowd(spark, n: int):
+    """``n`` stops and ``n`` loaders at one place and time, every fourth stop part of the run before."""
+    stops = spark.range(n).selectExpr(
+        "'Dump1' vehicle", "date'2026-01-01' date_dpr", "concat('S', id) shift_dpr", "if(id < 8, null, id - id % 4) run_us", "id - id % 4 run_pid", "id * 1000 start_us",
+        "id start_pid", "id * 1000 + 60000000 end_us", "60D dur_sec", "id * 2000 + 60000000 mid2_us", "500000D + id % 7 d_utm_x", "2600000D + id % 5 d_utm_y", "600D d_alt")
+    loaders = spark.range(n).crossJoin(spark.range(3).withColumnRenamed("id", "k")).selectExpr(
+        "concat('Exc', id) l_id", "k * 30000000 ts_us", "id * 10 + k ping_id", "500000D + (id + k) % 90 l_x", "2600000D + id * k % 80 l_y", "600D + id % 20 l_alt")
+    return stops, loaders
+
+
+def test_closest_loaders_confirm_what_all_pairs_do(spark):
+    stops, loaders = _crowd(spark, 60)
+    loaders = loaders.unionByName(loaders.where("ping_id % 3 = 0").selectExpr("l_id", "ts_us", "ping_id + 100000 ping_id", "l_x + 1 l_x", "l_y", "l_alt"))
+    want = confirmed_loads(nearest_loaders(stops, loaders, P), P)
+    got = confirmed_loads(closest_loaders(stops, loaders, P), P).select(*want.columns)
+    assert got.count() > 10 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def _shuffled(df) -> int:
+    """Rows through the exchanges of the plan that ran."""
+    df.collect()
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        elif name != "ReusedExchange":
+            if name == "Exchange":
+                total += node.metrics().apply("shuffleRecordsWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+@pytest.mark.parametrize("join", [lambda s, l: confirmed_loads(closest_loaders(s, l, P), P), lambda s, l: nearest_loaders(s, l, P).groupBy().count()], ids=["loads", "all pairs"])
+def test_pairs_of_stops_and_loaders_are_not_shuffled(spark, join):
+    """Four times the stops and loaders at one place: four times the rows shuffled, not sixteen times."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few, many = (_shuffled(join(*_crowd(spark, n))) for n in (100, 400))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 0 < many < 6 * few, (few, many)
