@@ -34,11 +34,20 @@ def normalise_header(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
+def read_headed(spark: SparkSession, path: str) -> DataFrame:
+    """One CSV path whose first line with text names the columns.  Spark's own
+    look for the header lists every file below the path on its own, however
+    many; here it sees that line only."""
+    first = spark.read.text(path).where(F.trim("value") != "").select("value").take(1)
+    csv = spark.read.option("header", True)
+    return csv.schema(csv.csv(spark.sparkContext.parallelize([first[0]["value"]], 1)).schema).csv(path) if first else csv.csv(path)
+
+
 def read_csv(spark: SparkSession, paths) -> DataFrame:
     if isinstance(paths, str):
         paths = [paths]
     # one read per file: a header names the columns of its own file only
-    files = [normalise_header(spark.read.option("header", True).csv(p)) for p in paths]
+    files = [normalise_header(read_headed(spark, p)) for p in paths]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), files)
 
 

@@ -4,12 +4,13 @@ versioned tables and sorted reports."""
 import glob
 import os
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from fleetspark.operators.dumps import geofence_events
-from fleetspark.sources.dims import read_id_mapping, zones_from_geojson_text
+from fleetspark.sources.dims import read_csv, read_id_mapping, zones_from_geojson_text
 from fleetspark.sources.fixtures import ZONES_GEOJSON, ZONES_LON_LAT, load_inputs
 from fleetspark.sources.sinks import current_version, read_table, switch_version, write_csv, write_table, write_version
 from fleetspark.sources.telemetry import in_file_order, file_numbers, read_telemetry, schema_groups
@@ -147,3 +148,30 @@ def test_a_sorted_report_of_several_files(spark, tmp_path):
     assert len(files) >= 13
     rows = [int(x) for f in files for x in open(f).read().split()[1:]]
     assert rows == list(range(5000))
+
+
+def test_many_small_csv_files_are_written_side_by_side_and_not_listed_one_by_one(spark, tmp_path):
+    path = f"{tmp_path}/r"
+    write_csv(spark.range(420).selectExpr("419 - id as id", "concat('Dump', id) as ` Vehicle`"), path, ["id"], rows_per_file=7)
+    files = sorted(Path(path).glob("part-*.csv"))
+    rows = [f.read_text().splitlines() for f in files]
+    assert [int(x.split(",")[0]) for r in rows for x in r[1:]] == list(range(420)) and max(map(len, rows)) <= 8
+    assert len({f.name.split("-")[1] for f in files}) >= 4 and len(files) > 40
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "read_csv")
+    try:
+        got = read_csv(spark, path)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    t = sc.statusTracker()
+    stages = [t.getStageInfo(s) for j in t.getJobIdsForGroup("headers") for s in t.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= 8
+    assert got.columns == ["id", "vehicle"] and got.count() == 420
+
+
+def test_csv_header_after_blank_lines_and_without_rows(spark, tmp_path):
+    for name, text in {"a": '\n  \n"Vehicle, no", DATE \nDump1,2026-01-01\n', "b": "", "c": "x,x\n"}.items():
+        (tmp_path / name).write_text(text)
+        want = spark.read.option("header", True).csv(str(tmp_path / name))
+        got = read_csv(spark, str(tmp_path / name))
+        assert got.columns == [c.strip().lower() for c in want.columns] and got.collect() == want.collect()
