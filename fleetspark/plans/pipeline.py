@@ -28,6 +28,7 @@ from ..operators.sequence import attach_labels, embed, fuel_head, merge_embeddin
 from ..operators.shift import shift_features
 from ..operators.trips import trip_features
 from ..params import DPR_COLS, Params
+from ..session import ensure_checkpoint_dir
 from ..sources.dims import fleet_classes, read_fleet, read_fuel_summary, read_id_mapping, read_zones
 from ..sources.sinks import read_bucketed, read_table, write_bucketed, write_csv, write_parquet, write_table
 from ..sources.telemetry import input_bytes, read_telemetry
@@ -118,7 +119,8 @@ def sequences(spark: SparkSession, paths: Paths, p: Params) -> None:
     labels = fuel_labels(read_fuel_summary(spark, paths.fuel_summaries))
     rows = {t: sequence_rows(read_pings(spark, paths, t, p), p) for t in ("train", "test")}
     keys = rows["train"].select("vehicle", "date_dpr", "shift_dpr").distinct()
-    seq_labels = attach_labels(keys, labels)
+    ensure_checkpoint_dir(spark)
+    seq_labels = attach_labels(keys, labels).checkpoint(eager=True)
     emb_tr, emb_te = embed(rows["train"], rows["test"], p)
     pr_tr, pr_te = fuel_head(emb_tr, emb_te, seq_labels, p)
     seen = []

@@ -150,8 +150,9 @@ class Ctx:
     @property
     def seq_labels(self) -> DataFrame:
         def build():
+            # shift level: the statistics, the head and its error read it, none of them replays the sequences
             keys = self.seq_split()[0].select("vehicle", "date_dpr", "shift_dpr").distinct()
-            return attach_labels(keys, self.labels)
+            return attach_labels(keys, self.labels).checkpoint(eager=True)
         return self.get("seq_labels", build)
 
     @property

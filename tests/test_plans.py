@@ -107,3 +107,8 @@ def test_class_filter_reaches_the_scan_of_written_files(spark, ctx, tmp_path):
 def test_asof_is_equi_join_on_bins(spark):
     p = plan(E.queries()["loader_asof"](spark, SF_SMALL))
     assert "_bin" in p and "NestedLoop" not in p
+
+
+def test_sequence_labels_do_not_replay_the_sequences(ctx):
+    p = plan(ctx.seq_labels)
+    assert "pings_" not in p and "Window" not in p
