@@ -408,8 +408,9 @@ def _dealt_finer(many: DataFrame, length: int, gram: int) -> tuple[DataFrame, Da
     return later, one.join(kinds, "h").select("h", "kinds", "f.doc", "f.th", "f.s", "f.body")
 
 
-def dedup(docs: DataFrame, keep: list[str] | None = None, length: int = LENGTH, gram: int = GRAM, split: int = SPLIT) -> DataFrame:
-    """The columns ``keep`` (default: doc_id) and ``rest`` (the remaining bytes), ``n_bytes, n_removed, n_spans, kept_sha256``."""
+def dedup(docs: DataFrame, keep: list[str] | None = None, length: int = LENGTH, gram: int = GRAM, split: int = SPLIT, as_text: bool = False) -> DataFrame:
+    """The columns ``keep`` (default: doc_id) and ``rest`` (the remaining bytes; with ``as_text`` a string
+    without the bytes of a character that was cut), ``n_bytes, n_removed, n_spans, kept_sha256``."""
     keep = keep or ["doc_id"]
     d = _keyed(docs, keep)
     spans = removed_spans(d, length, gram, split).groupBy("doc", "th").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("x"))
@@ -432,25 +433,23 @@ def dedup(docs: DataFrame, keep: list[str] | None = None, length: int = LENGTH,
                     end = e
             kept.append(raw[end:])
             left = b"".join(kept)
-            out.append((left, len(raw), removed, runs, hashlib.sha256(left).hexdigest()))
+            out.append((left.decode("utf-8", "ignore") if as_text else left, len(raw), removed, runs, hashlib.sha256(left).hexdigest()))
         return [*(b.column(f"k{i}") for i in range(n_keep)), *zip(*out)]
 
     j = d.join(spans, ["doc", "th"], "left").select(*[f"k{i}" for i in range(n_keep)], "text", "x")
     kinds = ", ".join(f"k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    got = map_arrow(j, run, f"{kinds}, rest binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    got = map_arrow(j, run, f"{kinds}, rest {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return got.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "rest", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def deduped_documents(docs: DataFrame) -> DataFrame:
-    """Pipeline form: all columns, with the remaining text (the bytes of a character that was cut go) and its n_chars."""
-    d, back = shielded(docs, ("doc_id", "text", "n_chars"))
-    got = dedup(d, [c for c in d.columns if c not in ("text", "n_chars")])
-
-    @F.arrow_udf("string")
-    def decoded(x: pa.Array) -> pa.Array:
-        return pa.array([v.decode("utf-8", "ignore") for v in x.to_pylist()], pa.string())
+    """Pipeline form: all columns, with the remaining text (the bytes of a character that was cut go) and its n_chars.
 
-    return back(got.withColumn("text", decoded("rest")).withColumn("n_chars", F.length("text").cast("long")))
+    The text is decoded where it is put together: a second Python step behind it would run in a worker
+    of its own, and both workers of a task stay with the executor for the stages that follow."""
+    d, back = shielded(docs, ("doc_id", "text", "n_chars"))
+    got = dedup(d, [c for c in d.columns if c not in ("text", "n_chars")], as_text=True)
+    return back(got.withColumn("text", F.col("rest")).withColumn("n_chars", F.length("text").cast("long")))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,8 @@ END_ID = 1
 LETTERS = "^[a-zÀ-ÖØ-öø-ÿ]+$"
 PUNCTUATION = "!#$%&()*+,-./:;<=>?@^_`{|}~"
 MAX_CACHED = 500_000
-SLICE_BYTES = 8 << 20
+#: Bytes of texts whose ids are laid out at a time; the memory of a worker follows it.
+SLICE_BYTES = 4 << 20
 #: Words of letters that the library gets as one text.
 TOGETHER = 400
 CHUNKS = byte_classes(b" \t\n\x0b\x0c\r")

@@ -170,6 +170,27 @@ def test_pipeline_against_its_stages(spark, docs, labels, tmp_path):
         assert g.offset.tolist() == [0, *g.length.cumsum().tolist()[:-1]] and g.length.sum() <= 2048
 
 
+def test_remaining_text_without_a_second_worker(spark, docs):
+    """The text is decoded where it is put together: no Python step follows another in one task. Cut characters go."""
+    same = "".join(chr(0x200 + i) for i in range(60))  # the characters before it differ in their first byte only
+    cut = spark.createDataFrame([(1, "\u0141" + same, "en", "s1", 61), (2, "x\u0101" + same, "en", "s1", 62), (3, None, "en", "s1", None)],
+                                "doc_id long, text string, lang string, source string, n_chars long")
+    out = suffix_dedup.deduped_documents(cut)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    assert out.columns == cut.columns
+    assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {1: ("\u0141" + same, 61), 2: ("x", 1), 3: ("", 0)}
+
+
+def test_ids_do_not_depend_on_the_slices(monkeypatch):
+    texts = [f"Word{i} other, {i * 7} words; " * (i % 9) for i in range(60)]
+    enc = tokens.ChunkEncoder(tokens.default_vocabulary())
+    whole = enc.ids(texts)
+    assert tokens.SLICE_BYTES <= 4 << 20
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 100)
+    assert enc.ids(texts) == whole
+
+
 def test_stage_names_and_columns():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "repeated_passages", "mixing", "packing"]
 
