@@ -8,6 +8,7 @@ import textwrap
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,6 +256,29 @@ def test_ngram_join_counts_every_link(spark, docs, odd, chunk):
     assert sorted(((r.doc_id, r.n_links) for r in got), key=key) == sorted(brute_links(rows, 3, 90, 100), key=key)
 
 
+@pytest.mark.parametrize("k", [1, 3, 5])
+def test_shingles_of_many_texts_at_once(monkeypatch, k):
+    rng = np.random.default_rng(7)
+    texts = ["", " ", "a", "a b", "A  b\n", "a b", "a\x1cb c d", "a\xa0b c d", "\u00c0B \u00e9 c", " x\ty\vz\f", "x", "y", "", "abcdefgh abcdefgh", "abcdefghi",
+             "q" * 64, "Q" * 64, "q" * 65, "q" * 65 + " r", "a b c d e f a b c d e f", "A B C D E F"]
+    texts += [" ".join(f"w{rng.integers(10 ** rng.integers(1, 12))}" for _ in range(rng.integers(1, 60))) for _ in range(300)]
+    monkeypatch.setattr(ngram_join, "SLICE", 500)
+    alone = []
+    digest = ngram_join.xxhash.xxh64_intdigest
+    monkeypatch.setattr(ngram_join.xxhash, "xxh64_intdigest", lambda w: alone.append(w) or digest(w))
+    col = pa.concat_arrays([pa.array(["left out"]), pa.array(texts)])[1:]
+    got = [s[i:j].tolist() for _, _, s, at in ngram_join.set_slices(col, k) for i, j in zip(at[:-1], at[1:])]
+    assert alone == [b"q" * 65] * 2  # words of usual length are hashed together, not one by one
+    name = {}
+    for t, have in zip(texts, got, strict=True):
+        w = t.encode().lower().split()
+        want = set(zip(*[w[j:] for j in range(k)])) if len(w) >= k else {tuple(w)} if w else set()
+        assert have == sorted(set(have)) and len(have) == len(want)
+        # equal sets, and only these, have equal hashes
+        assert name.setdefault(frozenset(want), have) == have
+    assert len({tuple(x) for x in name.values()}) == len(name)
+
+
 def test_heavy_tokens_are_frequent_among_all_documents(spark):
     # every batch has frequent shingles of its own (five times each, 0.00125 of all documents); one is in all documents
     few = spark.createDataFrame([(i, f"a b c p{i // 5} q r w{i}") for i in range(4000)], "doc_id long, text string").repartitionByRange(40, "doc_id")
