@@ -65,11 +65,13 @@ def scale_stats(train_imp: DataFrame, nums: list[str]) -> DataFrame:
     """M2: mean and population std on train (zero std -> 1).  The mean comes
     from an exact decimal sum, so it does not depend on how rows are split
     across partitions."""
-    exact_mean = lambda c: F.sum(F.col(c).cast("decimal(38,10)")).cast("double") / F.count(c)
-    row = train_imp.agg(*[F.struct(exact_mean(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in nums])
-    long = row.unpivot([], nums, "feature", "s")
-    return long.select("feature", F.col("s.mean").alias("mean"),
-                       F.when(F.col("s.std") == 0, F.lit(1.0)).otherwise(F.col("s.std")).alias("std"))
+    value = F.col("value")
+    exact_mean = F.sum(value.cast("decimal(38,10)")).cast("double") / F.count("value")
+    # a row per value: one aggregate over all columns at once outgrows what the JVM compiles
+    long = train_imp.select(*[F.col(c).cast("double").alias(c) for c in nums]).unpivot([], nums, "feature", "value")
+    found = long.groupBy("feature").agg(exact_mean.alias("mean"), F.stddev_pop("value").alias("std"))
+    every = train_imp.sparkSession.createDataFrame([(c,) for c in nums], "feature string")
+    return every.join(found, "feature", "left").select("feature", "mean", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")).alias("std"))
 
 
 def category_codes(train: DataFrame, test: DataFrame, cats: list[str]) -> DataFrame:
@@ -201,6 +203,17 @@ def cv_regression(train: DataFrame, test: DataFrame, p: Params, exclude_ids: boo
     return (u.select(*KEY, "fold", clip0("_p").alias(f"pred_{tag}")), t.select(*KEY, clip0("_p").alias(f"pred_{tag}")), scores)
 
 
+def both_models(train: DataFrame, test: DataFrame, p: Params) -> dict:
+    """``cv_regression`` by tag: the route model (no ids) and the full one.  They go side by side: a
+    boosting round is a short job for each level of its tree, which leaves most cores waiting."""
+    def one(tag: str):
+        return cv_regression(train, test, p, exclude_ids=(tag == "route"), tag=tag)
+
+    tags = ("route", "full")
+    with ThreadPoolExecutor(len(tags)) as pool:
+        return dict(zip(tags, pool.map(inheritable_thread_target(train.sparkSession)(one), tags)))
+
+
 def both_predictions(route: DataFrame, full: DataFrame) -> DataFrame:
     """M6: route and full predictions of the same shifts; keys may be NULL.
     Out-of-fold predictions carry the fold, which both models share."""

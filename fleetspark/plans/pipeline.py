@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..operators.assemble import (EMBEDDED, agreement_report, assemble_test, assemble_train, coverage_report, duplicate_labels, fuel_labels,
                                   join_key, missing_report, observe)
 from ..operators.clean import clean_haulers, clean_loaders
-from ..operators.model import both_predictions, cv_regression, model_rows
+from ..operators.model import both_models, both_predictions, model_rows
 from ..operators.pings import ping_pass
 from ..operators.reports import (daily_consistency, daily_series, daily_summary, efficiency_delta, scatter_sample,
                                  submission, summary, vehicle_ranking)
@@ -139,8 +139,8 @@ def sequences(spark: SparkSession, paths: Paths, p: Params) -> None:
 def model(spark: SparkSession, paths: Paths, p: Params) -> None:
     """Stage 6: route and full models, submissions and reports."""
     tr, te = model_rows(read_table(spark, _p(paths, "train_final")), read_table(spark, _p(paths, "test_final")))
-    oof_r, test_r, s_r = cv_regression(tr, te, p, exclude_ids=True, tag="route")
-    oof_f, test_f, s_f = cv_regression(tr, te, p, exclude_ids=False, tag="full")
+    models = both_models(tr, te, p)
+    (oof_r, test_r, s_r), (oof_f, test_f, s_f) = models["route"], models["full"]
     write_parquet(both_predictions(oof_r, oof_f), _p(paths, "train_predictions"))
     write_parquet(both_predictions(test_r, test_f), _p(paths, "test_predictions"))
     write_parquet(s_r.unionByName(s_f), _p(paths, "cv_scores"))

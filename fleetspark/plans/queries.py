@@ -21,7 +21,7 @@ from ..operators.stops import load_candidates
 from ..operators.trips import TripEvents, marked_pings, trip_events, trip_features, trip_state
 from ..operators.assemble import (agreement_report, assemble_test, assemble_train, coverage_report, fuel_labels,
                                   join_key, missing_report, observe, split_by_mapping)
-from ..operators.model import assign_folds, both_predictions, category_codes, cv_regression, feature_columns, feature_scout, median_stats, model_rows
+from ..operators.model import assign_folds, both_models, both_predictions, category_codes, feature_columns, feature_scout, median_stats, model_rows
 from ..operators.model import impute, scale_stats
 from ..operators.reports import (daily_consistency, daily_series, daily_summary, efficiency_delta, rate_predictions,
                                  scatter_sample, submission, vehicle_ranking)
@@ -181,7 +181,7 @@ class Ctx:
         return self.get("model_split_seq", build)
 
     def cv(self, tag: str):
-        return self.get(f"cv_{tag}", lambda: cv_regression(*self.model_split_seq, self.p, exclude_ids=(tag == "route"), tag=tag))
+        return self.get("cv", lambda: both_models(*self.model_split_seq, self.p))[tag]
 
     @property
     def rate_preds(self):

@@ -1,12 +1,16 @@
 """Order statistics, dense codes and folds against numpy and pandas, and their plans."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fleetspark.functions.order_stats import dense_codes, medians, quantiles
 from fleetspark.operators.assemble import agreement_report
-from fleetspark.operators.model import assign_folds, category_codes, median_stats
+from fleetspark.operators import model
+from fleetspark.operators.model import assign_folds, category_codes, median_stats, scale_stats
+from fleetspark.params import Params
 
 
 @pytest.fixture(scope="module")
@@ -71,3 +75,29 @@ def test_folds_are_equal_and_shuffled(spark, n):
         assert by_id != [i % 5 for i in range(n)]
         other = {(r.x, r.fold) for r in assign_folds(rows, 5, 7).collect()}
         assert other != {(r.x, r.fold) for r in a}
+
+
+def test_scale_stats_aggregate_rows_of_values(spark):
+    rows = [(float(i), 3.0, i % 7 / 3) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    stats = scale_stats(df, ["a", "b", "c"])
+    got = {r.feature: (r["mean"], r["std"]) for r in stats.collect()}
+    for i, c in enumerate("abc"):
+        x = np.array([r[i] for r in rows])
+        assert got[c] == (pytest.approx(x.mean()), pytest.approx(x.std() or 1.0))
+    # the aggregate does not grow with the columns
+    plan = stats._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("stddev_pop(") == 1
+    assert [tuple(r) for r in scale_stats(df.limit(0), ["a"]).collect()] == [("a", None, None)]
+
+
+def test_both_models_go_side_by_side(spark, monkeypatch):
+    together = threading.Barrier(2, timeout=60)
+
+    def fit(train, test, p, exclude_ids, tag):
+        together.wait()
+        return tag, exclude_ids
+
+    monkeypatch.setattr(model, "cv_regression", fit)
+    none = spark.range(0)
+    assert model.both_models(none, none, Params()) == {"route": ("route", True), "full": ("full", False)}
